@@ -2,17 +2,41 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.llm import sql
+from lodestar.llm.bpe_pieces import encode_digests
 from lodestar.llm.chosen_path import near_duplicates
+from lodestar.llm.packing import pack_documents
+from lodestar.llm.pii import pii_spans
+from lodestar.llm.sorted_projection import near_vectors
 from lodestar.tables import table
 
+PACKING_VOCABULARY = "byte_bpe_50k.json"
+ENCODING_RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+def op1_pii_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_spans(table(spark, sf_dir, "documents"))
+
+
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_VOCABULARY), public_tokenizers.PATTERN, with_ids=False)
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(ENCODING_RANKS), public_tokenizers.PATTERN)
+
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op10_minhash_near_dedup,)}
+QUERIES = {f.__name__: f for f in (op1_pii_deobfuscation, op2_embedding_near_dedup, op4_packing, op6_byte_bpe, op10_minhash_near_dedup)}
 
 ORACLE_SQL = {"op10_minhash_near_dedup": sql.OP10}
