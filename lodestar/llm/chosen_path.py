@@ -9,14 +9,17 @@ part ways.
 
 * A node whose members already lie in one component is finished.
 * A node of at most ``leaf`` members is compared exhaustively by signature.
-* A larger node first links its members to a few pivots, then branches again,
-  down to ``depth`` levels; what is still large then is compared exhaustively in
-  blocks, so no node is capped or dropped.
+* A larger node first links its members to a few pivots (every third level).  If few members are then
+  outside its largest component, those are compared with all; else it branches
+  again, down to ``depth`` levels, and what is still large then is compared
+  exhaustively in blocks.  So no node is capped or dropped.
 
 Signatures only propose pairs (far below the threshold, so that a true pair is not
-lost); each link is confirmed on the full sets.  Comparisons emit a spanning
-forest first and, in a second pass, whatever could still join two components, so
-the number of pairs follows the number of members and not its square.
+lost); each link is confirmed on the full sets.  Short sets travel with their
+signatures, so that a node confirms its own pairs and emits a spanning forest of
+true links; pairs with a longer set are proposed as a forest first and, in a second
+pass, whatever could still join two components.  So the number of pairs follows the
+number of members and not its square.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.shingles import minwise, overlap, pack, set_key, shingle_set, signature_seeds
+from lodestar.llm.shingles import minwise, overlap, pack, set_key, shingle_set, signature_seeds, unpack
 from lodestar.operators.components import connected_components
 from lodestar.storage import Scratch
 
@@ -34,20 +37,25 @@ SIGNATURE = 64
 _BITMAP_WORDS = 1 << 17
 
 
+#: Shingles up to which a set travels with its signature.
+SHORT = 192
+
+
 def _sketches(width: int, size: int):
     def run(batches):
         seeds = signature_seeds(size)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
-            count, node, sig = [], [], []
+            count, node, sig, short = [], [], [], []
             for text in texts:
                 hashes = shingle_set(text, width)
                 count.append(len(hashes))
                 node.append(set_key(hashes) if len(hashes) else None)
-                sig.append(minwise(hashes, seeds) if len(hashes) else None)
+                sig.append(minwise(hashes, seeds).tobytes() if len(hashes) else None)
+                short.append(pack(hashes) if 0 < len(hashes) <= SHORT else None)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(count, pa.int64()), pa.array(node, pa.int64()), pa.array(sig, pa.list_(pa.int32()))],
-                names=["doc_id", "n_shingles", "node", "sig"],
+                [ids, pa.array(count, pa.int64()), pa.array(node, pa.int64()), pa.array(sig, pa.binary()), pa.array(short, pa.binary())],
+                names=["doc_id", "n_shingles", "node", "sig", "short"],
             )
 
     return run
@@ -66,18 +74,44 @@ def _full_sets(width: int):
     return run
 
 
+def _linked(percent: int, na: int, nb: int, both: int) -> bool:
+    return 100 * both >= percent * (na + nb - both)
+
+
 def _confirm(percent: int):
     def run(batches):
         for batch in batches:
-            keep = []
-            for na, nb, a, b in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
-                both = overlap(a, b)
-                keep.append(100 * both >= percent * (na + nb - both))
+            keep = [_linked(percent, na, nb, overlap(a, b)) for na, nb, a, b in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keep, pa.bool_())], names=["a", "b", "linked"])
 
     return run
 
 
+def _proposal(a, b, linked) -> pa.RecordBatch:
+    """Pairs; linked is true where the full sets have confirmed it and null where they are still to be compared."""
+    a, b = np.asarray(a, np.int64), np.asarray(b, np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+
+
+def _to_pivots(percent: int, least: int):
+    """Rows: node, n_shingles, sig, short, and the same four of a pivot."""
+
+    def run(batches):
+        for batch in batches:
+            a, b, linked = [], [], []
+            for x, nx, sx, fx, y, ny, sy, fy in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+                if 100 * min(nx, ny) < percent * max(nx, ny) or (np.frombuffer(sx, np.int32) == np.frombuffer(sy, np.int32)).sum() < least:
+                    continue
+                exact = fx is not None and fy is not None
+                if not exact or _linked(percent, nx, ny, overlap(fx, fy)):
+                    a.append(x)
+                    b.append(y)
+                    linked.append(True if exact else None)
+            yield _proposal(a, b, linked)
+
+    return run
+
+
 class _Union:
     """Union-find over small dense indices."""
 
@@ -108,29 +142,59 @@ def _alike(sigs: np.ndarray, sizes: np.ndarray, labels: np.ndarray, percent: int
     return own[i], j, agree[i, j]
 
 
-def _compare(percent: int, least: int, everything: bool):
+def _common(sets: list[bytes], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets i and j, pair by pair or, for many pairs, by products of membership matrices."""
+    if len(i) <= 2 * len(sets):
+        return np.array([overlap(sets[x], sets[y]) for x, y in zip(i.tolist(), j.tolist(), strict=True)], np.int64)
+    parts = [unpack(x) for x in sets]
+    owner = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+    values, at, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+    total = np.zeros((len(parts), len(parts)), np.int64)
+    shared = np.flatnonzero(count > 1)
+    place = np.full(len(values), -1, np.int64)
+    place[shared] = np.arange(len(shared))
+    where = place[at]
+    for lo in range(0, len(shared), 4096):
+        mine = (where >= lo) & (where < lo + 4096)
+        member = np.zeros((len(parts), min(4096, len(shared) - lo)), np.float32)
+        member[owner[mine], where[mine] - lo] = 1
+        total += (member @ member.T).astype(np.int64)
+    return total[i, j]
+
+
+def _compare(percent: int, least: int, again: bool):
     """Compares runs of rows that share a group; the input is sorted by group.
 
-    Rows: group, half (0 or 1: members of two blocks; pairs within a block only where both halves are 0), node, label, n_shingles, sig.
+    Rows: group, node, label, n_shingles, sig, short.  The first time, a forest of
+    confirmed links and, between what these leave apart, of proposals; again, all
+    proposals between different labels.
     """
 
-    def pairs(nodes, labels, sizes, sigs):
+    def pairs(nodes, labels, sizes, sigs, short):
         found = [_alike(sigs, sizes, labels, percent, least, slice(at, at + 64)) for at in range(0, len(nodes), 64)]
         i, j, agree = (np.concatenate(x) for x in zip(*found, strict=True))
-        if not everything:  # the strongest spanning forest, on top of the components known already
-            forest = _Union(len(nodes))
-            first: dict[int, int] = {}
-            for k, label in enumerate(labels.tolist()):
-                forest.join(first.setdefault(label, k), k)
-            order = np.argsort(-agree, kind="stable")
-            pick = [k for k in order.tolist() if forest.join(int(i[k]), int(j[k]))]
-            i, j = i[pick], j[pick]
-        return np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j])
+        if not len(i):
+            return _proposal([], [], [])
+        has = np.array([x is not None for x in short])
+        exact = has[i] & has[j]
+        if again:
+            i, j = i[~exact], j[~exact]
+            return _proposal(nodes[i], nodes[j], [None] * len(i))
+        used, at = np.unique(np.concatenate((i[exact], j[exact])), return_inverse=True)
+        half = int(exact.sum())
+        both = _common([short[k] for k in used.tolist()], at[:half], at[half:])
+        true = np.zeros(len(i), bool)
+        true[exact] = 100 * both >= percent * (sizes[i[exact]] + sizes[j[exact]] - both)
+        forest = _Union(len(nodes))
+        first: dict[int, int] = {}
+        for k, label in enumerate(labels.tolist()):
+            forest.join(first.setdefault(label, k), k)
+        order = np.lexsort((-agree, ~true))
+        pick = [k for k in order.tolist() if (true[k] or not exact[k]) and forest.join(int(i[k]), int(j[k]))]
+        return _proposal(nodes[i[pick]], nodes[j[pick]], [True if true[k] else None for k in pick])
 
     def flush(rows):
-        columns = [np.concatenate(x) for x in zip(*rows, strict=True)]
-        a, b = pairs(*columns)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        return pairs(*(np.concatenate(x) for x in list(zip(*rows, strict=True))[:4]), [y for row in rows for y in row[4]])
 
     def run(batches):
         current, rows = None, []
@@ -139,104 +203,121 @@ def _compare(percent: int, least: int, everything: bool):
                 continue
             group = batch.column(0).to_numpy(zero_copy_only=False)
             node, label, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
-            sig = batch.column(4).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            sig = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.int32).reshape(batch.num_rows, -1)
+            short = batch.column(5).to_pylist()
             cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)]
             for lo, hi in zip(cuts, cuts[1:], strict=False):
                 if group[lo] != current and rows:
                     yield flush(rows)
                     rows = []
                 current = group[lo]
-                rows.append((node[lo:hi], label[lo:hi], size[lo:hi], sig[lo:hi]))
+                rows.append((node[lo:hi], label[lo:hi], size[lo:hi], sig[lo:hi], short[lo:hi]))
         if rows:
             yield flush(rows)
 
     return run
 
 
+_PAIRS = "a long, b long, linked boolean"
+
+
 class ChosenPathJoin:
     """One run of the join over one table; see :func:`near_duplicates`."""
 
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str, percent: int, width: int, trees: int, branches: int, leaf: int, depth: int, pivots: int, block: int):
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, percent: int, width: int, trees: int, branches: int, leaf: int, depth: int, pivots: int):
         self.spark, self.scratch = docs.sparkSession, Scratch(docs.sparkSession, "chosenpath")
         self.percent, self.width, self.trees, self.branches = percent, width, trees, branches
-        self.leaf, self.depth, self.pivots, self.block = leaf, depth, pivots, block
+        self.leaf, self.depth, self.pivots = leaf, depth, pivots
         self.least = max(1, SIGNATURE * percent // 100 - 16)  # over four standard deviations below the threshold
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-        self.rows = self.scratch.save(self.docs.mapInArrow(_sketches(width, SIGNATURE), "doc_id long, n_shingles long, node long, sig array<int>"), "rows")
-        one = self.rows.where("node IS NOT NULL").dropDuplicates(["node"])
-        self.classes = self.scratch.save(one.select("node", "n_shingles", "sig"), "classes")
+        sketched = self.docs.mapInArrow(_sketches(width, SIGNATURE), "doc_id long, n_shingles long, node long, sig binary, short binary")
+        self.rows = self.scratch.save(sketched, "rows")
+        self.classes: DataFrame | None = None  # of the classes that share a node with another one
         self.sets: DataFrame | None = None
-        self.links: DataFrame | None = None
+        self.proposed: DataFrame | None = None
         self.labels: DataFrame | None = None
-        self.tried: DataFrame | None = None
 
     def _children(self, frontier: DataFrame) -> DataFrame:
         """frontier: path, node, sig. The paths of the coordinates that the path's hash picks."""
         start = F.pmod(F.xxhash64("path"), F.lit(SIGNATURE)).cast("int")
         at = [F.pmod(start + F.lit(j * (SIGNATURE // self.branches)), F.lit(SIGNATURE)) for j in range(self.branches)]
-        paths = F.array(*(F.xxhash64("path", x, F.get("sig", x)) for x in at))
+        paths = F.array(*(F.xxhash64("path", x, F.substring("sig", 4 * x + 1, F.lit(4))) for x in at))
         return frontier.select("node", F.explode(paths).alias("path"))
 
-    def _labelled(self, rows: DataFrame) -> DataFrame:
-        if self.labels is None:
-            return rows.withColumn("label", F.col("node"))
-        return rows.join(self.labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-
     def _open(self, rows: DataFrame) -> DataFrame:
-        """Rows (path, node) of nodes that hold more than one component, with the number of members."""
-        rows = self._labelled(rows)
+        """Rows (path, node, label) of nodes that hold more than one component, with the number of members."""
+        label = F.col("node")
+        if self.labels is not None:
+            rows = rows.join(self.labels, "node", "left")
+            label = F.coalesce("component", "node")
+        rows = rows.select("path", "node", label.alias("label"))
         per = rows.groupBy("path").agg(F.count("*").alias("members"), F.min("label").alias("lo"), F.max("label").alias("hi"))
         return rows.join(per.where("lo < hi").select("path", "members"), "path")
 
-    def _prepare_sets(self, candidates: DataFrame) -> None:
-        """Full sets of the classes that share any node with another one; a bitmap of fixed size spares most other texts the shuffle."""
-        ids = self.rows.join(candidates, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-        ids = self.scratch.save(ids.select("doc_id").distinct(), "ids")
+    def _prepare(self, level: DataFrame) -> None:
+        """What later steps read of the classes in open nodes: signatures and short sets, and full sets where these are long.
+
+        Long sets are made anew from the texts.  A bitmap of fixed size over the ids
+        says which texts to take; the few that it takes in vain do no harm.
+        """
+        wanted = level.select("node").distinct()
+        one = self.rows.select("node", "doc_id", "n_shingles", "sig", "short").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+        self.classes = self.scratch.save(one, "classes")
         slot = F.pmod(F.xxhash64("doc_id"), F.lit(_BITMAP_WORDS * 64))
-        word, bit = (slot / 64).cast("long"), F.pmod(slot, F.lit(64)).cast("int")
-        bitmap = ids.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-        texts = self.docs.select("doc_id", "text", word.alias("word"), bit.alias("bit")).join(F.broadcast(bitmap), "word")
-        texts = texts.where(F.getbit("bits", "bit") == 1).select("doc_id", "text").join(ids, "doc_id", "left_semi")
-        sets = texts.select("text").mapInArrow(_full_sets(self.width), "node long, packed binary").where("node IS NOT NULL")
-        self.sets = self.scratch.save(sets, "sets")
-
-    def _verify(self, pairs: DataFrame) -> DataFrame:
-        """Confirmed pairs (a, b) of the proposed ones, each compared once on full sets."""
-        sets = self.sets.dropDuplicates(["node"]).join(self.classes.select("node", "n_shingles"), "node")
-        left = sets.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("packed").alias("pa"))
-        right = sets.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("packed").alias("pb"))
-        joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "na", "nb", "pa", "pb")
-        return joined.mapInArrow(_confirm(self.percent), "a long, b long, linked boolean")
+        word, bit = F.shiftright(slot, 6), F.pmod(slot, F.lit(64)).cast("int")
+        long_ones = self.classes.where("short IS NULL").select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("mark"))
+        bitmap = long_ones.groupBy("word").agg(F.bit_or("mark").alias("bits"))
+        texts = self.docs.select("text", word.alias("word"), bit.alias("bit")).join(F.broadcast(bitmap), "word").where(F.getbit("bits", F.col("bit")) == 1)
+        full = texts.select("text").mapInArrow(_full_sets(self.width), "node long, packed binary").where("node IS NOT NULL")
+        self.sets = self.scratch.save(full, "sets")
 
     def _link(self, pairs: DataFrame, name: str) -> None:
-        """Verify new pairs, remember them as tried, and bring the labels up to date."""
-        fresh = pairs.select("a", "b").distinct()
-        if self.tried is not None:
-            fresh = fresh.join(self.tried.select("a", "b"), ["a", "b"], "left_anti")
-        checked = self.scratch.save(self._verify(fresh), name)
-        self.tried = checked if self.tried is None else self.tried.unionByName(checked)
-        forest = self.tried.where("linked")
-        if self.labels is not None:
-            forest = forest.select("a", "b")
-        self.labels = self.scratch.save(connected_components(forest, "a", "b"), "labels")
-
-    def _pivot_pairs(self, big: DataFrame) -> DataFrame:
-        """Each member of a large node with each of the node's pivots that its signature resembles."""
+        """Confirm what is still only proposed, and bring the labels up to date."""
+        pairs = self.scratch.save(pairs, name)
+        fresh = pairs.where("linked IS NULL").select("a", "b").distinct()
+        if self.proposed is not None:
+            fresh = fresh.join(self.proposed.select("a", "b"), ["a", "b"], "left_anti")
+        short = self.classes.where("short IS NOT NULL").select("node", F.col("short").alias("packed"))
+        sets = short.unionByName(self.sets).join(self.classes.select("node", "n_shingles"), "node")
+        left = sets.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("packed").alias("pa"))
+        right = sets.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("packed").alias("pb"))
+        joined = fresh.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "pa", "pb")
+        checked = joined.mapInArrow(_confirm(self.percent), _PAIRS)
+        known = self.scratch.save(checked.unionByName(pairs.where("linked")), name)
+        self.proposed = known if self.proposed is None else self.proposed.unionByName(known)
+        self.labels = self.scratch.save(connected_components(self.proposed.where("linked"), "a", "b"), "labels")
+
+    def _pivot_pairs(self, rows: DataFrame) -> DataFrame:
+        """rows: path, node and the class's columns. Each member of a large node with each of the node's pivots."""
         slot = F.pmod(F.xxhash64("node", F.lit(7)), F.lit(self.pivots)).alias("slot")
-        chosen = big.groupBy("path", slot).agg(F.min(F.struct(F.xxhash64("node", F.lit(11)).alias("h"), "node")).alias("p")).select("path", F.col("p.node").alias("pivot"))
-        pairs = big.join(chosen, "path").where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        one = self.classes
-        pairs = pairs.join(one.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("sig").alias("sa")), "a")
-        pairs = pairs.where("true").join(one.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("sig").alias("sb")), "b")
-        agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-        fits = 100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb")
-        return pairs.where(fits & (agree >= self.least)).select("a", "b")
-
-    def _compared(self, groups: DataFrame, everything: bool) -> DataFrame:
-        """groups: g, node, label. Pairs proposed within each group."""
-        full = groups.join(self.classes, "node").select("g", "node", "label", "n_shingles", "sig")
+        chosen = rows.groupBy("path", slot).agg(F.min(F.struct(F.xxhash64("node", F.lit(11)).alias("h"), "node")).alias("p"))
+        chosen = chosen.select("path", F.col("p.node").alias("node")).join(rows, ["path", "node"])
+        chosen = chosen.select("path", *(F.col(c).alias(f"p_{c}") for c in ("node", "label", "n_shingles", "sig", "short")))
+        pairs = rows.join(chosen, "path").where("label <> p_label")
+        pairs = pairs.select("node", "n_shingles", "sig", "short", "p_node", "p_n_shingles", "p_sig", "p_short")
+        return pairs.mapInArrow(_to_pivots(self.percent, self.least), _PAIRS)
+
+    def _settle(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """rows: path, node of large nodes after their pivots. What to finish as (path, node), and the paths to branch again.
+
+        Where at most half a leaf of members lies outside the largest component, these
+        join every block of that component; members of one component need no comparison.
+        """
+        rows = self._open(rows)
+        per = rows.groupBy("path", "label").agg(F.count("*").alias("n")).groupBy("path")
+        per = per.agg(F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("top")).select("path", "all", F.col("top.n").alias("n"), F.col("top.label").alias("most"))
+        half = self.leaf // 2
+        near = rows.join(per.where(F.col("all") - F.col("n") <= half), "path").withColumn("blocks", F.ceil(F.col("n") / half).cast("int"))
+        own = F.array(F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int"))
+        spread = F.when(F.col("label") == F.col("most"), own).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
+        finish = near.select("path", "node", F.explode(spread).alias("block")).select(F.xxhash64("path", "block").alias("path"), "node")
+        return finish, per.where(F.col("all") - F.col("n") > half).select("path")
+
+    def _compared(self, groups: DataFrame, again: bool) -> DataFrame:
+        """groups: g, node, label. Pairs found or proposed within each group."""
+        full = groups.join(self.classes, "node").select("g", "node", "label", "n_shingles", "sig", "short")
         ordered = full.repartition("g").sortWithinPartitions("g", "node")
-        return ordered.mapInArrow(_compare(self.percent, self.least, everything), "a long, b long")
+        return ordered.mapInArrow(_compare(self.percent, self.least, again), _PAIRS)
 
     def _distinct_groups(self, rows: DataFrame) -> DataFrame:
         """Small open nodes with their labels, those of equal membership once. rows: path, node."""
@@ -247,33 +328,39 @@ class ChosenPathJoin:
 
     def _block_groups(self, rows: DataFrame) -> DataFrame:
         """What is still large at the last level: each pair of blocks of its members is a group."""
-        rows = self._open(rows).withColumn("blocks", F.ceil(F.col("members") / self.block).cast("int"))
+        rows = self._open(rows).withColumn("blocks", F.ceil(2 * F.col("members") / self.leaf).cast("int"))
         own = F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int")
         rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         return rows.select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("g"), "node", "label")
 
     def run(self) -> DataFrame:
         """(node, component) of classes in a component of more than one class."""
+        one = self.rows.where("node IS NOT NULL").dropDuplicates(["node"]).select("node", "sig")
         roots = F.explode(F.array(*(F.xxhash64(F.lit(f"tree {t}")) for t in range(self.trees))))
-        rows = self._open(self._children(self.classes.select("node", "sig", roots.alias("path"))))
-        rows = self.scratch.save(rows.select("path", "node", "members"), "level")
-        self._prepare_sets(rows.select("node").distinct())
+        rows = self.scratch.save(self._open(self._children(one.select("node", "sig", roots.alias("path")))), "level")
+        self._prepare(rows)
         small, big = [rows.where(F.col("members") <= self.leaf)], rows.where(F.col("members") > self.leaf)
         for level in range(self.depth):
             if big.isEmpty():
                 break
-            self._link(self._pivot_pairs(big), f"pivots{level}")
-            still = self._open(big.select("path", "node")).join(self.classes.select("node", "sig"), "node")
-            rows = self.scratch.save(self._open(self._children(still.select("path", "node", "sig"))).select("path", "node", "members"), "level")
+            full = self.scratch.save(big.select("path", "node", "label").join(self.classes.drop("doc_id"), "node"), "big")
+            if level % 3 == 0:
+                self._link(self._pivot_pairs(full), f"pivots{level}")
+            finish, again = self._settle(full.select("path", "node"))
+            small.append(self.scratch.save(finish, "finish"))
+            rows = self._open(self._children(full.join(again, "path", "left_semi")))
+            rows = self.scratch.save(rows, "level")
             small.append(rows.where(F.col("members") <= self.leaf))
             big = rows.where(F.col("members") > self.leaf)
-        nodes = small[0]
+        nodes = small[0].select("path", "node")
         for more in small[1:]:
-            nodes = nodes.unionByName(more)
-        nodes = nodes.select("path", "node").distinct()
-        for everything in (False, True):
-            groups = self._distinct_groups(nodes).unionByName(self._block_groups(big.select("path", "node")))
-            self._link(self._compared(groups, everything), f"leaves{everything}")
+            nodes = nodes.unionByName(more.select("path", "node"))
+        nodes = nodes.distinct()
+        for again in (False, True):
+            groups = self._distinct_groups(nodes)
+            if not big.isEmpty():
+                groups = groups.unionByName(self._block_groups(big.select("path", "node")))
+            self._link(self._compared(groups, again), f"leaves{again}")
         return self.labels
 
 
@@ -283,12 +370,11 @@ def near_duplicates(
     text_col: str = "text",
     percent: int = 75,
     width: int = 5,
-    trees: int = 6,
+    trees: int = 5,
     branches: int = 2,
-    leaf: int = 64,
+    leaf: int = 512,
     depth: int = 6,
     pivots: int = 4,
-    block: int = 512,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each row of ``docs``.
 
@@ -298,7 +384,7 @@ def near_duplicates(
     with nothing (a null id stays null and is kept).  Repeated rows are copies of
     each other.  Columns other than the two named are ignored.
     """
-    join = ChosenPathJoin(docs, id_col, text_col, percent, width, trees, branches, leaf, depth, pivots, block)
+    join = ChosenPathJoin(docs, id_col, text_col, percent, width, trees, branches, leaf, depth, pivots)
     labels = join.run()
     rows = join.rows.select("doc_id", "n_shingles", "node")
     per_class = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("lowest"))
