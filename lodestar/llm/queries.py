@@ -5,12 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import sql
+from lodestar.llm import compression_quality, html_extract, sql
 from lodestar.llm.bpe_pieces import encode_digests
 from lodestar.llm.chosen_path import near_duplicates
 from lodestar.llm.packing import pack_documents
 from lodestar.llm.pii import pii_spans
 from lodestar.llm.sorted_projection import near_vectors
+from lodestar.llm.threshold_topk import top_k
 from lodestar.tables import table
 
 PACKING_VOCABULARY = "byte_bpe_50k.json"
@@ -25,6 +26,11 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return compression_quality.score(docs, compression_quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_VOCABULARY), public_tokenizers.PATTERN, with_ids=False)
 
@@ -33,10 +39,30 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(ENCODING_RANKS), public_tokenizers.PATTERN)
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii_deobfuscation, op2_embedding_near_dedup, op4_packing, op6_byte_bpe, op10_minhash_near_dedup)}
-
-ORACLE_SQL = {"op10_minhash_near_dedup": sql.OP10}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_pii_deobfuscation,
+        op2_embedding_near_dedup,
+        op3_quality_classifier,
+        op4_packing,
+        op6_byte_bpe,
+        op8_exact_top_k,
+        op9_html_extraction,
+        op10_minhash_near_dedup,
+    )
+}
+
+ORACLE_SQL = {"op2_embedding_near_dedup": sql.OP2, "op8_exact_top_k": sql.OP8, "op10_minhash_near_dedup": sql.OP10}

@@ -1,5 +1,33 @@
 """DuckDB statements that give the same rows as the queries, by plain relational means."""
 
+OP2 = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (
+  SELECT vec_id AS x, vec_id AS y FROM embeddings
+  UNION
+  SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y),
+lowest AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+counted AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN lowest ON lowest.x = vec_id LEFT JOIN counted ON counted.x = vec_id
+"""
+
+OP8 = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id, list_sum(list_transform(list_zip(q.e, r.e), lambda p: coalesce(p[1] * p[2], 0)))::BIGINT AS score
+  FROM v q JOIN v r ON r.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
 OP10 = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
