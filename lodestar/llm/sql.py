@@ -16,6 +16,20 @@ SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS
 FROM embeddings JOIN lowest ON lowest.x = vec_id LEFT JOIN counted ON counted.x = vec_id
 """
 
+OP5 = r"""
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos, count(*) OVER (PARTITION BY conv_id) AS n FROM t),
+p AS (
+  SELECT conv_id, pos, n, string_agg(strlen(role) || ':' || role || strlen(text) || ':' || text, '') OVER (PARTITION BY conv_id ORDER BY pos) AS prefix FROM r),
+whole AS (SELECT prefix, min(conv_id) AS conv_id, min(n) AS n_turns, count(*) AS n_copies FROM p WHERE pos = n GROUP BY prefix),
+kept AS (SELECT * FROM whole WHERE prefix NOT IN (SELECT prefix FROM p WHERE pos < n))
+SELECT conv_id, any_value(n_turns)::INT AS n_turns, any_value(n_copies) AS n_copies,
+  string_agg('<|im_start|>' || replace(role, '<|im_', '<| im_') || chr(10) || replace(text, '<|im_', '<| im_') || '<|im_end|>' || chr(10), '' ORDER BY pos) AS rendered
+FROM kept JOIN r USING (conv_id) GROUP BY conv_id
+"""
+
 OP8 = r"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
