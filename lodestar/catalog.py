@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from lodestar.plans.oracles import ORACLE_SQL
+from lodestar.plans.queries import QUERIES
+
 FLAGSHIP = "brand_knn_imputation"
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
