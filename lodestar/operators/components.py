@@ -43,12 +43,12 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
             break
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # its two uses below share one exchange
         large = both.where("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = scratch.save(large, "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         following = scratch.save(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "edges")
-        scratch.drop(current, large)
+        scratch.drop(current)
         current = following
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -57,7 +57,7 @@ class RuleProvider:
         return F.array_distinct(F.regexp_extract_all(text, F.lit(MODEL_PATTERN), F.lit(0)))
 
     def specs(self, text: Column) -> Column:
-        return F.filter(F.transform(F.split(text, "\n"), parse_line), lambda s: s.isNotNull())
+        return F.filter(F.transform(F.split(text, "\n"), lambda line: parse_line(line)), lambda s: s.isNotNull())
 
     def embed(self, text: Column) -> Column:
         size = self.dimension

@@ -29,8 +29,10 @@ def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
 def _as_array(doc):
     """One JSON array of what a file holds: itself, or its lines, or its single object."""
     text = F.trim(doc)
-    lines = F.concat(F.lit("["), F.array_join(F.filter(F.split(text, "\n"), lambda x: F.trim(x) != ""), ","), F.lit("]"))
-    return F.when(text.startswith("["), text).when(F.try_parse_json(text).isNotNull(), F.concat(F.lit("["), text, F.lit("]"))).otherwise(lines)
+    parts = F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")
+    lines = F.concat(F.lit("["), F.array_join(parts, ","), F.lit("]"))
+    by_line = F.forall(parts, lambda x: F.try_parse_json(x).isNotNull())
+    return F.when(text.startswith("["), text).when(by_line, lines).otherwise(F.concat(F.lit("["), text, F.lit("]")))
 
 
 def unnest_records(docs: DataFrame) -> DataFrame:
