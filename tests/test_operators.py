@@ -13,8 +13,8 @@ from lodestar.sources.records import PRODUCT
 DATA = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_components_against_union_find(spark, seed):
+@pytest.mark.parametrize("seed, chunk", [(0, 1000), (1, 7), (2, 20), (3, 1)])
+def test_components_against_union_find(spark, seed, chunk):
     r = random.Random(seed)
     n = 60
     pairs = [(r.randrange(n), r.randrange(n)) for _ in range(r.choice([0, 5, 40, 120]))] + [(k, k + 1) for k in range(100, 130)] + [(7, None), (3, 3)]
@@ -30,7 +30,7 @@ def test_components_against_union_find(spark, seed):
             a, b = sorted((find(a), find(b)))
             parent[b] = a
     touched = {x for a, b in pairs if b is not None and a != b for x in (a, b)}
-    got = {r.node: r.component for r in connected_components(spark.createDataFrame(pairs, "src long, dst long")).collect()}
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(pairs, "src long, dst long"), chunk=chunk).collect()}
     assert got == {x: min(y for y in touched if find(y) == find(x)) for x in touched}
 
 
