@@ -33,7 +33,9 @@ from lodestar.llm.shingles import minwise, overlap, pack, set_key, shingle_set,
 from lodestar.operators.components import connected_components
 from lodestar.storage import Scratch
 
+#: Coordinates that trees branch on; the signature of a long set has more of them, which only comparisons use.
 SIGNATURE = 64
+LONG_SIGNATURE = 256
 _BITMAP_WORDS = 1 << 17
 
 
@@ -41,9 +43,10 @@ _BITMAP_WORDS = 1 << 17
 SHORT = 192
 
 
-def _sketches(width: int, size: int):
+def _sketches(width: int):
     def run(batches):
-        seeds = signature_seeds(size)
+        seeds = signature_seeds(LONG_SIGNATURE)
+        few = tuple(x[:SIGNATURE] for x in seeds)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             count, node, sig, short = [], [], [], []
@@ -51,7 +54,7 @@ def _sketches(width: int, size: int):
                 hashes = shingle_set(text, width)
                 count.append(len(hashes))
                 node.append(set_key(hashes) if len(hashes) else None)
-                sig.append(minwise(hashes, seeds).tobytes() if len(hashes) else None)
+                sig.append(minwise(hashes, few if len(hashes) <= SHORT else seeds).tobytes() if len(hashes) else None)
                 short.append(pack(hashes) if 0 < len(hashes) <= SHORT else None)
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(count, pa.int64()), pa.array(node, pa.int64()), pa.array(sig, pa.binary()), pa.array(short, pa.binary())],
@@ -64,16 +67,27 @@ def _sketches(width: int, size: int):
 def _full_sets(width: int):
     def run(batches):
         for batch in batches:
-            node, packed = [], []
+            node, count, packed = [], [], []
             for text in batch.column(0).to_pylist():
                 hashes = shingle_set(text, width)
                 node.append(set_key(hashes) if len(hashes) else None)
+                count.append(len(hashes))
                 packed.append(pack(hashes))
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(packed, pa.binary())], names=["node", "packed"])
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(count, pa.int64()), pa.array(packed, pa.binary())], names=["node", "n_shingles", "packed"])
 
     return run
 
 
+def _least(percent: int, size: int) -> int:
+    """Agreeing coordinates of ``size`` that a linked pair has but for some four standard deviations."""
+    return max(1, int(size * percent / 100 - 4 * (size * percent * (100 - percent)) ** 0.5 / 100))
+
+
+def _resemble(percent: int, a: bytes, b: bytes) -> bool:
+    size = min(len(a), len(b)) // 4
+    return bool((np.frombuffer(a, np.int32, size) == np.frombuffer(b, np.int32, size)).sum() >= _least(percent, size))
+
+
 def _linked(percent: int, na: int, nb: int, both: int) -> bool:
     return 100 * both >= percent * (na + nb - both)
 
@@ -93,14 +107,14 @@ def _proposal(a, b, linked) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
 
-def _to_pivots(percent: int, least: int):
+def _to_pivots(percent: int):
     """Rows: node, n_shingles, sig, short, and the same four of a pivot."""
 
     def run(batches):
         for batch in batches:
             a, b, linked = [], [], []
             for x, nx, sx, fx, y, ny, sy, fy in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
-                if 100 * min(nx, ny) < percent * max(nx, ny) or (np.frombuffer(sx, np.int32) == np.frombuffer(sy, np.int32)).sum() < least:
+                if 100 * min(nx, ny) < percent * max(nx, ny) or not _resemble(percent, sx, sy):
                     continue
                 exact = fx is not None and fy is not None
                 if not exact or _linked(percent, nx, ny, overlap(fx, fy)):
@@ -162,7 +176,7 @@ def _common(sets: list[bytes], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return total[i, j]
 
 
-def _compare(percent: int, least: int, again: bool):
+def _compare(percent: int, again: bool):
     """Compares runs of rows that share a group; the input is sorted by group.
 
     Rows: group, node, label, n_shingles, sig, short.  The first time, a forest of
@@ -170,9 +184,16 @@ def _compare(percent: int, least: int, again: bool):
     proposals between different labels.
     """
 
+    least, least_long = _least(percent, SIGNATURE), _least(percent, LONG_SIGNATURE)
+
     def pairs(nodes, labels, sizes, sigs, short):
-        found = [_alike(sigs, sizes, labels, percent, least, slice(at, at + 64)) for at in range(0, len(nodes), 64)]
+        head = np.frombuffer(b"".join([x[: 4 * SIGNATURE] for x in sigs]), np.int32).reshape(len(sigs), -1)
+        found = [_alike(head, sizes, labels, percent, least, slice(at, at + 64)) for at in range(0, len(nodes), 64)]
         i, j, agree = (np.concatenate(x) for x in zip(*found, strict=True))
+        whole = {k: np.frombuffer(x, np.int32) for k, x in enumerate(sigs) if len(x) == 4 * LONG_SIGNATURE}
+        both_long = [x in whole and y in whole for x, y in zip(i.tolist(), j.tolist(), strict=True)]
+        fits = np.array([not b or (whole[x] == whole[y]).sum() >= least_long for b, x, y in zip(both_long, i.tolist(), j.tolist(), strict=True)], bool)
+        i, j, agree = i[fits], j[fits], agree[fits]
         if not len(i):
             return _proposal([], [], [])
         has = np.array([x is not None for x in short])
@@ -194,7 +215,8 @@ def _compare(percent: int, least: int, again: bool):
         return _proposal(nodes[i[pick]], nodes[j[pick]], [True if true[k] else None for k in pick])
 
     def flush(rows):
-        return pairs(*(np.concatenate(x) for x in list(zip(*rows, strict=True))[:4]), [y for row in rows for y in row[4]])
+        columns = list(zip(*rows, strict=True))
+        return pairs(*(np.concatenate(x) for x in columns[:3]), *([y for part in x for y in part] for x in columns[3:]))
 
     def run(batches):
         current, rows = None, []
@@ -203,8 +225,7 @@ def _compare(percent: int, least: int, again: bool):
                 continue
             group = batch.column(0).to_numpy(zero_copy_only=False)
             node, label, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
-            sig = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.int32).reshape(batch.num_rows, -1)
-            short = batch.column(5).to_pylist()
+            sig, short = batch.column(4).to_pylist(), batch.column(5).to_pylist()
             cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)]
             for lo, hi in zip(cuts, cuts[1:], strict=False):
                 if group[lo] != current and rows:
@@ -221,6 +242,20 @@ def _compare(percent: int, least: int, again: bool):
 _PAIRS = "a long, b long, linked boolean"
 
 
+def _maybe_among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose key is one of the wanted ones, and some few others; nothing is shuffled but a bitmap.
+
+    The bitmap has a fixed size (2**17 words of 64 bits), so it may be broadcast
+    whatever the number of wanted keys; with very many of them it only lets more pass.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(_BITMAP_WORDS * 64))
+    word, bit = F.shiftright(slot, 6), F.pmod(slot, F.lit(64)).cast("int")
+    marks = wanted.select(word.alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("_mark"))
+    bitmap = marks.groupBy("_word").agg(F.bit_or("_mark").alias("_bits"))
+    marked = rows.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(bitmap), "_word")
+    return marked.where(F.getbit("_bits", F.col("_bit")) == 1).select(rows.columns)
+
+
 class ChosenPathJoin:
     """One run of the join over one table; see :func:`near_duplicates`."""
 
@@ -228,9 +263,8 @@ class ChosenPathJoin:
         self.spark, self.scratch = docs.sparkSession, Scratch(docs.sparkSession, "chosenpath")
         self.percent, self.width, self.trees, self.branches = percent, width, trees, branches
         self.leaf, self.depth, self.pivots = leaf, depth, pivots
-        self.least = max(1, SIGNATURE * percent // 100 - 16)  # over four standard deviations below the threshold
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-        sketched = self.docs.mapInArrow(_sketches(width, SIGNATURE), "doc_id long, n_shingles long, node long, sig binary, short binary")
+        sketched = self.docs.mapInArrow(_sketches(width), "doc_id long, n_shingles long, node long, sig binary, short binary")
         self.rows = self.scratch.save(sketched, "rows")
         self.classes: DataFrame | None = None  # of the classes that share a node with another one
         self.sets: DataFrame | None = None
@@ -263,12 +297,8 @@ class ChosenPathJoin:
         wanted = level.select("node").distinct()
         one = self.rows.select("node", "doc_id", "n_shingles", "sig", "short").join(wanted, "node", "left_semi").dropDuplicates(["node"])
         self.classes = self.scratch.save(one, "classes")
-        slot = F.pmod(F.xxhash64("doc_id"), F.lit(_BITMAP_WORDS * 64))
-        word, bit = F.shiftright(slot, 6), F.pmod(slot, F.lit(64)).cast("int")
-        long_ones = self.classes.where("short IS NULL").select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("mark"))
-        bitmap = long_ones.groupBy("word").agg(F.bit_or("mark").alias("bits"))
-        texts = self.docs.select("text", word.alias("word"), bit.alias("bit")).join(F.broadcast(bitmap), "word").where(F.getbit("bits", F.col("bit")) == 1)
-        full = texts.select("text").mapInArrow(_full_sets(self.width), "node long, packed binary").where("node IS NOT NULL")
+        texts = _maybe_among(self.docs, "doc_id", self.classes.where("short IS NULL").select("doc_id"))
+        full = texts.select("text").mapInArrow(_full_sets(self.width), "node long, n_shingles long, packed binary").where("node IS NOT NULL")
         self.sets = self.scratch.save(full, "sets")
 
     def _link(self, pairs: DataFrame, name: str) -> None:
@@ -277,8 +307,10 @@ class ChosenPathJoin:
         fresh = pairs.where("linked IS NULL").select("a", "b").distinct()
         if self.proposed is not None:
             fresh = fresh.join(self.proposed.select("a", "b"), ["a", "b"], "left_anti")
-        short = self.classes.where("short IS NOT NULL").select("node", F.col("short").alias("packed"))
-        sets = short.unionByName(self.sets).join(self.classes.select("node", "n_shingles"), "node")
+        fresh = self.scratch.save(fresh, "fresh")
+        short = self.classes.where("short IS NOT NULL").select("node", "n_shingles", F.col("short").alias("packed"))
+        wanted = fresh.select(F.explode(F.array("a", "b")).alias("node"))
+        sets = _maybe_among(short.unionByName(self.sets), "node", wanted)
         left = sets.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("packed").alias("pa"))
         right = sets.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("packed").alias("pb"))
         joined = fresh.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "pa", "pb")
@@ -295,29 +327,29 @@ class ChosenPathJoin:
         chosen = chosen.select("path", *(F.col(c).alias(f"p_{c}") for c in ("node", "label", "n_shingles", "sig", "short")))
         pairs = rows.join(chosen, "path").where("label <> p_label")
         pairs = pairs.select("node", "n_shingles", "sig", "short", "p_node", "p_n_shingles", "p_sig", "p_short")
-        return pairs.mapInArrow(_to_pivots(self.percent, self.least), _PAIRS)
+        return pairs.mapInArrow(_to_pivots(self.percent), _PAIRS)
 
     def _settle(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         """rows: path, node of large nodes after their pivots. What to finish as (path, node), and the paths to branch again.
 
-        Where at most half a leaf of members lies outside the largest component, these
+        Where at most a leaf of members lies outside the largest component, these
         join every block of that component; members of one component need no comparison.
         """
         rows = self._open(rows)
         per = rows.groupBy("path", "label").agg(F.count("*").alias("n")).groupBy("path")
         per = per.agg(F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("top")).select("path", "all", F.col("top.n").alias("n"), F.col("top.label").alias("most"))
         half = self.leaf // 2
-        near = rows.join(per.where(F.col("all") - F.col("n") <= half), "path").withColumn("blocks", F.ceil(F.col("n") / half).cast("int"))
+        near = rows.join(per.where(F.col("all") - F.col("n") <= self.leaf), "path").withColumn("blocks", F.ceil(F.col("n") / half).cast("int"))
         own = F.array(F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int"))
         spread = F.when(F.col("label") == F.col("most"), own).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
         finish = near.select("path", "node", F.explode(spread).alias("block")).select(F.xxhash64("path", "block").alias("path"), "node")
-        return finish, per.where(F.col("all") - F.col("n") > half).select("path")
+        return finish, per.where(F.col("all") - F.col("n") > self.leaf).select("path")
 
     def _compared(self, groups: DataFrame, again: bool) -> DataFrame:
         """groups: g, node, label. Pairs found or proposed within each group."""
         full = groups.join(self.classes, "node").select("g", "node", "label", "n_shingles", "sig", "short")
         ordered = full.repartition("g").sortWithinPartitions("g", "node")
-        return ordered.mapInArrow(_compare(self.percent, self.least, again), _PAIRS)
+        return ordered.mapInArrow(_compare(self.percent, again), _PAIRS)
 
     def _distinct_groups(self, rows: DataFrame) -> DataFrame:
         """Small open nodes with their labels, those of equal membership once. rows: path, node."""
@@ -372,7 +404,7 @@ def near_duplicates(
     width: int = 5,
     trees: int = 5,
     branches: int = 2,
-    leaf: int = 512,
+    leaf: int = 1024,
     depth: int = 6,
     pivots: int = 4,
 ) -> DataFrame:
