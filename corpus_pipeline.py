@@ -29,12 +29,13 @@ from lodestar.tables import table
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; a null text counts as an empty one."""
-    model = compression_quality.fit(docs, table(spark, sf_dir, "labels"))
+    model = compression_quality.fit(docs, table(ship(spark), sf_dir, "labels"))
     return compression_quality.keep_good(docs, model)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the smallest id. Documents without words all stay."""
+    ship(spark)
     found = near_duplicates(docs)
     gone = found.where("NOT kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
@@ -42,6 +43,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents with personal data masked; a null text and its ``n_chars`` stay as they are."""
+    ship(spark)
     masked = pii.redact(docs)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -51,6 +53,7 @@ def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their places in sequences, and their ids."""
+    ship(spark)
     return pack_documents(docs, public_tokenizers.path(PACKING_VOCABULARY), public_tokenizers.PATTERN)
 
 
