@@ -197,4 +197,25 @@ ORACLE_SQL = {
           CASE WHEN z.items + 1 > 3 OR z.chars + r.n > 900 THEN r.n ELSE z.chars + r.n END FROM Z z JOIN R r ON r.doc = z.doc AND r.k = z.k + 1)
       SELECT doc, page, batch FROM Z""",
     "stream_dedup_index": "SELECT DISTINCT user_id FROM events",
+    "series_merge": f"""WITH {ENTITIES}, X AS (SELECT category, lower(series) AS series_key, seq, brand, CASE WHEN seq % 3 = 1 THEN upper(series) || '系列室内机' ELSE upper(series) || '系列' END AS name FROM E),
+      PG AS (SELECT category, series_key, string_agg(p, ',' ORDER BY s) AS pages FROM (SELECT category, series_key, (seq % 5)::VARCHAR AS p, min(seq) AS s FROM X GROUP BY 1, 2, 3) GROUP BY 1, 2)
+      SELECT category, series_key, max(name) AS name, count(DISTINCT nullif(brand, ''))::INT AS n_evidence, any_value(pages) AS pages FROM X JOIN PG USING (category, series_key) GROUP BY 1, 2""",
+    "model_redirects": f"""WITH {ENTITIES}, M AS (SELECT brand, series, product_model AS name, min(seq) AS seq FROM E WHERE brand <> '' GROUP BY 1, 2, 3),
+      K AS (SELECT DISTINCT brand FROM M WHERE series = 'red'), R AS (SELECT *, seq % 4 = 2 AND seq % 3 <> 0 AND series <> 'red' AND brand IN (SELECT brand FROM K) AS redirected FROM M WHERE seq % 4 <> 1)
+      SELECT brand, CASE WHEN redirected THEN 'red' ELSE series END AS series, name, redirected FROM R""",
+    "series_feature_merge": f"""WITH {ENTITIES}, S AS (SELECT brand, series, lower(category) AS c, product_model AS f, seq FROM E WHERE seq % 11 = 0 AND brand <> ''),
+      SF AS (SELECT brand, series, string_agg('fit for ' || c, ';' ORDER BY s) AS fs FROM (SELECT brand, series, c, min(seq) AS s FROM S GROUP BY 1, 2, 3) GROUP BY 1, 2), ST AS (SELECT brand, series, count(DISTINCT f)::INT AS n FROM S GROUP BY 1, 2),
+      B AS (SELECT *, string_split(lower(product_model), '-') AS w FROM E)
+      SELECT seq, CASE WHEN w[1] = w[2] THEN w[1] ELSE w[1] || ';' || w[2] END || coalesce(';' || fs, '') AS features, lower(category) || CASE WHEN n IS NULL THEN '' ELSE ';fan' END AS key_components, coalesce(n, 0) AS n_facts
+      FROM B LEFT JOIN SF USING (brand, series) LEFT JOIN ST USING (brand, series)""",
+    "completeness_scores": f"WITH {ENTITIES} SELECT seq, CASE WHEN brand <> '' THEN 50 ELSE 40 END AS score, CASE WHEN brand <> '' THEN brand || '::' || product_model ELSE product_model END AS product_id FROM E",
+    "single_brand_documents": f"""WITH {ENTITIES}, X AS (SELECT seq, seq // 3 AS doc, CASE WHEN seq % 3 = 1 OR seq % 7 = 0 THEN brand ELSE '' END AS brand FROM E),
+      O AS (SELECT doc, min(brand) AS one FROM X WHERE brand <> '' GROUP BY doc HAVING count(DISTINCT brand) = 1)
+      SELECT seq, coalesce(one, brand) AS brand, one IS NOT NULL AND one <> brand AS brand_changed FROM X LEFT JOIN O USING (doc)""",
+    "call_limits": """WITH C AS (SELECT event_type, greatest(1, coalesce(ceil((props->>'$.k')::BIGINT * 100 / 4000), 1), CASE WHEN (props->>'$.k')::BIGINT % 2 = 0 THEN ceil((props->>'$.k')::BIGINT * 10 / 300) ELSE 1 END)::INT AS f FROM events),
+      R AS (SELECT coalesce(max(f) FILTER (WHERE event_type IN ('click', 'view')), 1) AS text_factor, coalesce(max(f) FILTER (WHERE event_type NOT IN ('click', 'view')), 1) AS review_factor FROM C)
+      SELECT text_factor, review_factor, greatest(1200, floor(8000 / text_factor))::INT AS max_chars, greatest(10, floor(50 / review_factor))::INT AS max_items FROM R""",
+    "stored_urls": "WITH P AS (SELECT page_id, split_part(url, '?', 1) AS url FROM pages) SELECT page_id, url FROM P WHERE url IN (SELECT url FROM P WHERE page_id % 7 = 0)",
+    "dropped_brands": f"""WITH {ENTITIES}, N AS (SELECT DISTINCT brand AS name FROM E WHERE brand <> ''), K AS (SELECT lower(regexp_replace(name, '[^A-Za-z0-9]', '', 'g')) AS k FROM N WHERE length(name) < 8 UNION SELECT lower(regexp_replace(name, '[^A-Za-z0-9]', '', 'g')) || '0' FROM N WHERE length(name) < 8)
+      SELECT name, 'not_kept' AS reason FROM N WHERE lower(regexp_replace(name, '[^A-Za-z0-9]', '', 'g')) NOT IN (SELECT k FROM K)""",
 }

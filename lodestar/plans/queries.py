@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.specs import guard_units, parse_line
-from lodestar.functions.text import brand_core, category_of, edit_similarity, pair_key
-from lodestar.operators import clusters, fusion, imputation, knowledge, matching, merge, quality, retrieval, windows
+from lodestar.functions.text import brand_core, category_of, completeness, edit_similarity, pair_key, product_id
+from lodestar.operators import clusters, fusion, imputation, knowledge, matching, merge, quality, retrieval, reviews, windows
 from lodestar.operators.components import connected_components
 from lodestar.plans.views import entities
 from lodestar.provider import RuleProvider
@@ -303,6 +303,63 @@ def page_order(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("label", F.col("k.doc").alias("doc"), F.row_number().over(Window.partitionBy("k.doc").orderBy("k.at", "k.label")).alias("rank"))
 
 
+def series_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Series names in several spellings, sifted and merged by key."""
+    e = entities(spark, sf)
+    ending = F.when(F.col("seq") % 3 == 0, "系列").when(F.col("seq") % 3 == 1, "系列室内机").otherwise("系列 1) 说明")
+    rows = e.select("category", "seq", F.concat(F.upper("series"), ending).alias("name"), F.array("brand").alias("evidence"), F.array((F.col("seq") % 5).cast("string")).alias("pages"))
+    out = reviews.merge_series(rows, ["category"])
+    return out.select("category", "series_key", "name", F.size("evidence").alias("n_evidence"), F.array_join("pages", ",").alias("pages"))
+
+
+def model_redirects(spark: SparkSession, sf: str) -> DataFrame:
+    """Models after a review that drops some and moves others to a series it is sure of."""
+    e = entities(spark, sf).where("brand <> ''")
+    models = e.groupBy("brand", "series", F.col("product_model").alias("name")).agg(F.min("seq").alias("seq"))
+    verdicts = models.where("seq % 4 <> 0").select(
+        "brand", "series", "name", (F.col("seq") % 4 != 1).alias("keep"), F.lit("model").alias("kind"), F.when(F.col("seq") % 4 == 2, "RED").alias("series_guess"), F.lit("").alias("redirect_to"), F.when(F.col("seq") % 3 == 0, 0.5).otherwise(0.9).alias("confidence")
+    )
+    return reviews.redirect_models(models, verdicts, e.select("brand", "series").distinct()).select("brand", "series", "name", "redirected")
+
+
+def series_feature_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """What is said of a series, given to each of its products."""
+    p = _products(spark, sf)
+    said = p.where("seq % 11 = 0").select("brand", "series", "seq", F.array(F.concat(F.lit("fit for "), F.lower("category"))).alias("features"), F.array(F.col("product_model")).alias("fact_text"), F.array(F.lit("fan")).alias("key_components"))
+    out = reviews.add_series_features(p, said)
+    return out.select("seq", F.array_join("features", ";").alias("features"), F.array_join("key_components", ";").alias("key_components"), F.size("fact_text").alias("n_facts"))
+
+
+def completeness_scores(spark: SparkSession, sf: str) -> DataFrame:
+    e = entities(spark, sf)
+    fields = {c: c for c in ("brand", "category", "series", "product_model", "manufacturer")}
+    return e.select("seq", completeness(fields, [F.array("brand")]).alias("score"), product_id("brand", "series", "category", "product_model", F.lit("record")).alias("product_id"))
+
+
+def single_brand_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of documents that know only one brand get it."""
+    e = entities(spark, sf).select("seq", F.floor(F.col("seq") / 3).cast("long").alias("doc"), F.when(F.col("seq") % 3 == 1, F.col("brand")).when(F.col("seq") % 7 == 0, F.col("brand")).otherwise("").alias("brand"))
+    return reviews.single_brand_scope(e).select("seq", "brand", "brand_changed")
+
+
+def call_limits(spark: SparkSession, sf: str) -> DataFrame:
+    """Limits that the overflow report asks for."""
+    return quality.recommended_limits(overflow_report(spark, sf), text_schemas=["click_schema", "view_schema"])
+
+
+def stored_urls(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages").select("page_id", F.split_part("url", F.lit("?"), F.lit(1)).alias("url"))
+    return matching.known_urls(pages, pages.where("page_id % 7 = 0")).select("page_id", "url")
+
+
+def dropped_brands(spark: SparkSession, sf: str) -> DataFrame:
+    """Brands of a snapshot that neither stay nor are an alias of one that does."""
+    e = entities(spark, sf).where("brand <> ''")
+    before = e.groupBy(F.col("brand").alias("name")).agg(F.min("seq").alias("seq"))
+    after = before.where("length(name) < 8").select(F.lower("name").alias("name"), F.array(F.concat("name", F.lit("0"))).alias("aliases"))
+    return matching.dropped_names(before, after).select("name", "reason")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -310,6 +367,6 @@ QUERIES = {
         vector_label_imputation, vector_search, product_dedup_merge, product_dedup_canonical, category_correction, frequent_models, page_windows, logical_documents, page_clusters, keyword_retrieval,
         follow_pages, name_occurrences, bind_known_models, model_conflicts, model_spec_relations, graph_nodes, graph_edges, batch_envelope, crawl_url_dedup, crawl_listing, page_content_extract,
         page_links, task_latest_status, incremental_index, overflow_report, batch_summary, spec_parse, connected_parts, text_chunks, prompt_batches, alias_clusters, containment_groups, markdown_pages,
-        stream_dedup_index, page_order,
+        stream_dedup_index, page_order, series_merge, model_redirects, series_feature_merge, completeness_scores, single_brand_documents, call_limits, stored_urls, dropped_brands,
     )
 }

@@ -1,4 +1,4 @@
-"""Making the package importable on executors."""
+"""Making a session ready: the package on the executors, and batches of bounded size for Python."""
 
 from __future__ import annotations
 
@@ -11,13 +11,17 @@ from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
 
+#: Bytes of rows that one Arrow batch to a Python worker holds, so that long texts don't add up there.
+BATCH_BYTES = 16 << 20
+
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package's source to the executors, once for each application.
+    """Send this package's source to the executors, once for each application, and bound Arrow batches.
 
     Functions that run on executors are pickled by reference, so the executors
     must be able to import the package; Spark's file server carries one archive.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         root = Path(__file__).resolve().parent
