@@ -26,6 +26,11 @@ def col(c: Name) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that it may use often, without the expression of the value being repeated."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 def trimmed(c: Name) -> Column:
     """Without white space of any kind at both ends; null becomes empty."""
     return F.regexp_replace(F.coalesce(col(c).cast("string"), F.lit("")), r"(?U)^\s+|\s+$", "")
