@@ -160,7 +160,7 @@ def labelled_page(seed: int) -> tuple[Page, np.ndarray]:
 
 
 @lru_cache(maxsize=2)
-def trained(pages: int = 1500, seed: int = 3) -> BoostedTrees:
+def trained(pages: int = 800, seed: int = 3) -> BoostedTrees:
     """The model, fitted on ``pages`` generated pages; the same for the same parameters."""
     return fit_trees(*training_set(pages, seed))
 
