@@ -87,6 +87,24 @@ def entity_similarity(left: str, right: str, weights: dict[str, float] | None =
     return F.when(models, score / used).otherwise(0.0)
 
 
+def normal_field(c: Name) -> Column:
+    """A field as entities compare it: trimmed, lower case."""
+    return F.lower(trimmed(c))
+
+
+def normal_similarity(left: str, right: str, weights: dict[str, float]) -> Column:
+    """:func:`entity_similarity` of fields that :func:`normal_field` has prepared, so that no pair prepares them again."""
+    score, used = F.lit(0.0), F.lit(0.0)
+    for name, weight in weights.items():
+        a, b = col(f"{left}{name}"), col(f"{right}{name}")
+        both = (a != "") & (b != "")
+        alike = F.when(a == b, F.lit(1.0)).otherwise(F.lit(1.0) - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1)).cast("double"))
+        score += F.when(both, F.lit(weight) * alike).otherwise(0.0)
+        used += F.when(both, F.lit(weight)).otherwise(0.0)
+    models = (col(f"{left}product_model") != "") & (col(f"{right}product_model") != "")
+    return F.when(models, score / used).otherwise(0.0)
+
+
 def brand_core(c: Name) -> Column:
     """Lower case without the organisation words, one after the other, and without anything but word characters."""
     text = F.lower(trimmed(c))
@@ -131,16 +149,21 @@ def coarse_key(manufacturer: Name, category: Name, model: Name) -> Column:
     )
 
 
+def quick_fields() -> dict[str, Column]:
+    """What :func:`quick_score` compares of an entity."""
+    return {
+        "q_start": F.lower(F.substring(F.coalesce("product_model", F.lit("")), 1, 5)),
+        "q_maker": F.lower(F.substring(F.coalesce("manufacturer", F.lit("")), 1, 1)),
+        "q_category": F.coalesce("category", F.lit("")),
+    }
+
+
 def quick_score(left: str, right: str) -> Column:
-    """Cheap likeness of two entities: start of the model, first letter of the manufacturer, category."""
-    start = lambda p: F.lower(F.substring(F.coalesce(col(f"{p}product_model"), F.lit("")), 1, 5))
-    first = lambda p: F.lower(F.substring(F.coalesce(col(f"{p}manufacturer"), F.lit("")), 1, 1))
-    kind = lambda p: F.coalesce(col(f"{p}category"), F.lit(""))
-    a, b = start(left), start(right)
+    """Cheap likeness of two entities by their quick fields: start of the model, first letter of the manufacturer, category."""
+    a, b = col(f"{left}q_start"), col(f"{right}q_start")
     model = (a != "") & (b != "") & (F.contains(a, b) | F.contains(b, a))
-    maker = (first(left) != "") & (first(left) == first(right))
-    category = (kind(left) != "") & (kind(left) == kind(right))
-    return F.when(model, 0.5).otherwise(0.0) + F.when(maker, 0.3).otherwise(0.0) + F.when(category, 0.2).otherwise(0.0)
+    same = lambda c: (col(f"{left}{c}") != "") & (col(f"{left}{c}") == col(f"{right}{c}"))
+    return F.when(model, 0.5).otherwise(0.0) + F.when(same("q_maker"), 0.3).otherwise(0.0) + F.when(same("q_category"), 0.2).otherwise(0.0)
 
 
 def confidence_band(c: Name, high: float = 0.75, medium: float = 0.6) -> Column:

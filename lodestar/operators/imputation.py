@@ -5,47 +5,59 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.functions.text import ENTITY_WEIGHTS, blank, blank_trimmed, coarse_key, confidence_band, entity_similarity, quick_score
+from lodestar.functions.text import ENTITY_WEIGHTS, blank, blank_trimmed, coarse_key, confidence_band, normal_field, normal_similarity, quick_fields, quick_score
 
 FIELDS = ["product_model", "manufacturer", "series", "category"]
 #: An asked row has no brand, so the brand's weight never counts.
 _WEIGHTS = {name: weight for name, weight in ENTITY_WEIGHTS.items() if name != "brand"}
 
 
+def _prepared(rows: DataFrame) -> DataFrame:
+    """Rows with their quick fields, and their fields as they are compared."""
+    return rows.withColumns(quick_fields()).withColumns({c: normal_field(c) for c in _WEIGHTS})
+
+
 def _neighbours(asked: DataFrame, known: DataFrame, on: Column | None) -> DataFrame:
     """Scored candidate pairs; ``asked`` has qid, ``known`` has cid and brand."""
     q, c = asked.alias("q"), known.alias("c")
     pairs = q.join(c, on) if on is not None else q.crossJoin(c)
-    return pairs.withColumns({"quick": quick_score("q.", "c."), "score": entity_similarity("q.", "c.", _WEIGHTS)})
+    return pairs.withColumns({"quick": quick_score("q.", "c."), "score": normal_similarity("q.", "c.", _WEIGHTS)})
 
 
-def knn_candidates(entities: DataFrame, k: int = 5, quick: float = 0.3) -> DataFrame:
-    """(qid, brand, score, cid): up to k best labelled rows for each distinct unlabelled description.
+def knn_candidates(entities: DataFrame, k: int = 5, quick: float = 0.3, salts: int = 16) -> DataFrame:
+    """(qid, brand, score, cid, rank): up to k best labelled rows for each distinct unlabelled description.
 
     A description is compared within its block; one of a block of fewer than 2k rows,
     or with fewer than k candidates past the quick score, is compared with all rows.
     Rows of equal description are compared once: only the first k of them can be
-    among the nearest k, so no more of a repeated row is ever joined.
+    among the nearest k, so no more of a repeated row is ever joined.  A block's labelled
+    rows are dealt to ``salts`` parts, each of which finds its own k best first, so that
+    a block with many of the rows is no single task.
     """
     block = coarse_key("manufacturer", "category", "product_model")
     labelled = entities.where(~blank_trimmed("brand")).select(F.col("seq").alias("cid"), "brand", *FIELDS, block.alias("block"))
     sizes = labelled.groupBy("block").agg(F.count("*").alias("rows"))
-    first = Window.partitionBy("brand", *FIELDS).orderBy("cid")
-    per = labelled.withColumn("copy", F.row_number().over(first)).where(F.col("copy") <= k).drop("copy")
-    copies = labelled.groupBy("block", *FIELDS).agg(F.count("*").alias("copies"))
+    first = Window.partitionBy(*FIELDS).orderBy("cid")
+    per = _prepared(labelled.withColumn("copy", F.row_number().over(first)).where(F.col("copy") <= k).drop("copy"))
+    copies = labelled.groupBy("block", *FIELDS).agg(F.count("*").alias("copies")).withColumns(quick_fields())
     asked = entities.where(blank_trimmed("brand")).groupBy(*FIELDS, block.alias("block")).agg(F.min("seq").alias("qid"))
-    asked = asked.join(sizes, "block", "left").withColumn("wide", F.coalesce("rows", F.lit(0)) < 2 * k).drop("rows")
+    asked = _prepared(asked.join(sizes, "block", "left").withColumn("wide", F.coalesce("rows", F.lit(0)) < 2 * k).drop("rows"))
     narrow = asked.where("NOT wide")
-    # how many candidates pass the quick score counts every row, repeated ones too
-    within = narrow.alias("q").join(copies.alias("c"), "block").where(quick_score("q.", "c.") >= quick)
-    enough = within.groupBy("qid").agg(F.sum("copies").alias("n")).where(F.col("n") >= k).select("qid")
-    blocked = _neighbours(narrow.join(enough, "qid"), per, F.col("q.block") == F.col("c.block")).where(F.col("quick") >= quick)
-    rest = asked.join(enough, "qid", "left_anti")
+    # how many candidates pass the quick score counts every row, repeated ones too; it depends on the quick fields only
+    fields = ["block", "q_start", "q_maker", "q_category"]
+    kinds = copies.groupBy(*fields).agg(F.sum("copies").alias("copies"))
+    within = narrow.select(*fields).distinct().alias("q").join(kinds.alias("c"), "block").where(quick_score("q.", "c.") >= quick)
+    enough = within.groupBy(*(F.col(f) if f == "block" else F.col(f"q.{f}").alias(f) for f in fields)).agg(F.sum("copies").alias("n")).where(F.col("n") >= k).select(*fields)
+    per = per.withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(salts)))
+    spread = narrow.join(enough, fields, "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    blocked = _neighbours(spread, per, (F.col("q.block") == F.col("c.block")) & (F.col("q.salt") == F.col("c.salt"))).where(F.col("quick") >= quick)
+    rest = asked.where("wide").unionByName(narrow.join(enough, fields, "left_anti"))
     everywhere = _neighbours(rest, per, None)
     columns = ["qid", F.col("c.brand").alias("brand"), "score", "cid"]
-    pairs = blocked.select(*columns).unionByName(everywhere.select(*columns)).where("score > 0")
+    pairs = blocked.select(*columns).unionByName(everywhere.select(*columns))
     best = Window.partitionBy("qid").orderBy(F.desc("score"), "cid")
-    return pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    # scores of 0 rank behind all others; dropping them last keeps the score from being computed for a join condition as well
+    return pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).where("score > 0")
 
 
 def weighted_vote(neighbours: DataFrame, key: str, label: str) -> DataFrame:
