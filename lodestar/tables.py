@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodestar.session import ship
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A table of ``sf_dir``; the session is made ready for this package on the way."""
+    return ship(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
