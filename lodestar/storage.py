@@ -32,6 +32,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        self.saved: list[DataFrame] = []
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
@@ -42,6 +43,7 @@ class Scratch:
         df.write.parquet(path)
         saved = self.spark.read.schema(df.schema).parquet(path)
         saved._scratch_path = path
+        self.saved.append(saved)
         return saved
 
     def drop(self, *frames: DataFrame | None) -> None:
@@ -52,3 +54,9 @@ class Scratch:
             if path:
                 target = jvm.org.apache.hadoop.fs.Path(path)
                 target.getFileSystem(conf).delete(target, True)
+
+    def clear(self, *keep: DataFrame) -> None:
+        """Delete all tables of this folder but those that a result still reads."""
+        kept = {getattr(frame, "_scratch_path", None) for frame in keep}
+        self.drop(*(frame for frame in self.saved if frame._scratch_path not in kept))
+        self.saved = list(keep)
