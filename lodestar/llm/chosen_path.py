@@ -393,6 +393,7 @@ class ChosenPathJoin:
             if not big.isEmpty():
                 groups = groups.unionByName(self._block_groups(big.select("path", "node")))
             self._link(self._compared(groups, again), f"leaves{again}")
+        self.scratch.clear(self.rows, self.labels)
         return self.labels
 
 
