@@ -1,28 +1,35 @@
-"""Near-duplicate vectors by sorted projection passes.
+"""Near-duplicate vectors by passes over signs of random projections.
 
 In each pass every vector gets a concatenation of random one-bit hashes (the signs
-of random projections); the vectors are put in lexicographic order of it, and each
-is compared with a bounded window of its neighbours.  Verified pairs of all passes
-are united into components.  Inside a component every pair is then compared, in
-blocks, because a window sees only some of the links of a dense group.
+of random projections); the vectors are put in lexicographic order of it and split,
+bit by bit, into leaves of bounded size, inside which each pair is compared.  A
+vector's leaves tell how likely its links were missed, so passes go on until that is
+below a stated chance for every vector; where vectors lie so dense that passes would
+cost more, each is compared with each.  Verified pairs are united into components.
+Inside a component every pair is then compared, in blocks, because passes see only
+some of the links of a dense group.
 
 Vectors of equal content are compared once, whatever their number.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.operators.components import connected_components
 from lodestar.storage import Scratch
 
-_BITS = 64
+#: Sign bits of a pass's key.
+_BITS = 32
+#: Rows of one sorted partition, of all of which a task holds the vectors.
+_ROWS = 32_768
 
 
 def rows_of(column: pa.Array) -> list[np.ndarray | None]:
@@ -56,111 +63,200 @@ def _content(batches):
 
 
 def _keyed(passes: int, seed: int):
-    """A row for each vector and pass: pass, key (dimension, then sign bits, big-endian), node, unit."""
+    """A row for each vector and pass: pass, dim, key (sign bits, the first one highest), node, unit."""
     planes: dict[int, np.ndarray] = {}
+    weights = 1 << np.arange(_BITS - 1, -1, -1, dtype=np.int64)
 
     def run(batches):
         for batch in batches:
-            nodes, units = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            keys: list[list[bytes]] = []
-            for unit in units:
-                x = np.frombuffer(unit)
-                if len(x) not in planes:
-                    planes[len(x)] = np.random.default_rng([seed, len(x)]).standard_normal((passes * _BITS, len(x)))
-                bits = np.packbits((planes[len(x)] @ x > 0).reshape(passes, _BITS), axis=1)
-                head = len(x).to_bytes(4, "big")
-                keys.append([head + row.tobytes() for row in bits])
+            nodes, units = batch.column(0), batch.column(1).to_pylist()
+            dims = np.array([len(u) // 8 for u in units], np.int32)
+            keys = np.zeros((passes, len(units)), np.int64)
+            for dim in set(dims.tolist()):
+                if dim not in planes:
+                    planes[dim] = np.random.default_rng([seed, dim]).standard_normal((passes * _BITS, dim))
+                at = np.flatnonzero(dims == dim)
+                for some in np.array_split(at, -(-len(at) // 1024)):
+                    m = np.stack([np.frombuffer(units[i]) for i in some.tolist()])
+                    keys[:, some] = ((m @ planes[dim].T > 0).reshape(len(some), passes, _BITS) @ weights).T
             for p in range(passes):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([p] * len(nodes), pa.int32()), pa.array([k[p] for k in keys], pa.binary()), batch.column(0), batch.column(1)],
-                    names=["pass", "key", "node", "unit"],
+                    [pa.array(np.full(len(units), p, np.int32)), pa.array(dims), pa.array(keys[p]), nodes, batch.column(1)], names=["pass", "dim", "key", "node", "unit"]
                 )
 
     return run
 
 
-def _near(nodes: np.ndarray, tags: np.ndarray, vectors: list[np.ndarray], window: int, least: float) -> tuple[list[int], list[int]]:
-    """Linked pairs among neighbours at most ``window`` apart, thinned to a spanning forest. tags: only equal ones compare."""
+def _forest(near: np.ndarray) -> tuple[list[int], list[int]]:
+    """(row, column) of entries that connect the same rows and columns as all true entries do."""
     a, b = [], []
-    parent: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    if len({len(v) for v in vectors}) > 1:
-        width = max(map(len, vectors))
-        vectors = [np.pad(v, (0, width - len(v))) for v in vectors]
-    m = np.stack(vectors)
-    for d in range(1, min(window, len(m) - 1) + 1):
-        close = np.flatnonzero((np.einsum("ij,ij->i", m[:-d], m[d:]) >= least) & (tags[:-d] == tags[d:]))
-        for i in close.tolist():
-            x, y = int(nodes[i]), int(nodes[i + d])
-            if x != y and find(x) != find(y):
-                parent[find(x)] = find(y)
-                a.append(x)
-                b.append(y)
+    rows, columns = near.any(axis=1), np.ones(near.shape[1], bool)
+    for start in np.flatnonzero(rows).tolist():
+        todo = [start] if rows[start] else []
+        rows[start] = False
+        while todo:
+            i = todo.pop()
+            for j in np.flatnonzero(near[i] & columns).tolist():
+                columns[j] = False
+                a.append(i)
+                b.append(j)
+                more = np.flatnonzero(near[:, j] & rows).tolist()
+                rows[more] = False
+                todo += more
+                a += more
+                b += [j] * len(more)
     return a, b
 
 
-_PASS_SCHEMA = "kind string, a long, b long, part int, at int, pass int, key binary, unit binary"
+def _linked(nodes: np.ndarray, others: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    i, j = _forest(near)
+    a, b = nodes[i], others[j]
+    return a[a != b], b[a != b]
 
 
-def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
-    n = len(a)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(["pair"] * n, pa.string()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), *(pa.nulls(n, t) for t in (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))],
-        names=["kind", "a", "b", "part", "at", "pass", "key", "unit"],
-    )
+def _length(x: np.ndarray) -> np.ndarray:
+    """Bits of each number, 0 for 0; exact below 2**53."""
+    return np.frexp(x.astype(np.float64))[1]
 
 
-def _edge(kind: str, part: int, rows: list[tuple]) -> pa.RecordBatch:
-    n = len(rows)
-    p, key, node, unit = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([kind] * n), pa.array(node, pa.int64()), pa.nulls(n, pa.int64()), pa.array([part] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array(p, pa.int32()), pa.array(key, pa.binary()), pa.array(unit, pa.binary())],
-        names=["kind", "a", "b", "part", "at", "pass", "key", "unit"],
-    )
+def _split(keys: np.ndarray, leaf: int):
+    """(from, to, depth) of the leaves of sorted keys: halved bit by bit as long as they are larger than ``leaf``."""
+    todo = [(0, len(keys), 0)]
+    while todo:
+        low, high, depth = todo.pop()
+        if high - low <= leaf or depth == _BITS:
+            yield low, high, depth
+            continue
+        bit = 1 << (_BITS - 1 - depth)
+        mid = low + int(np.searchsorted(keys[low:high] & bit, bit))
+        todo += [(x, y, depth + 1) for x, y in ((low, mid), (mid, high)) if y > x]
 
 
-def _tag(p: int, key: bytes) -> int:
-    return p << 32 | int.from_bytes(key[:4], "big")
+def _leaves(leaf: int, least: float):
+    """One sorted partition: linked pairs (a, b) inside leaves, and for each row (a, gain).
 
+    ``gain`` is -log of the chance that this pass misses a pair at exactly ``least``
+    with that row.  It counts the shortest prefix whose rows are all in this partition
+    and in one leaf, so that a leaf cut by the partition's ends claims no more than it sees.
+    """
+    agree = 1 - np.arccos(least) / np.pi
 
-def _windows(window: int, least: float, step: int = 4096):
-    """Compares neighbours of one sorted partition; its first and last rows come out as well, for the next and last partition."""
+    def out(a, b, gain):
+        n = len(a)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a, pa.int64()), pa.nulls(n, pa.int64()) if b is None else pa.array(b, pa.int64()), pa.nulls(n, pa.float64()) if gain is None else pa.array(gain, pa.float64())], names=["a", "b", "gain"]
+        )
 
     def run(batches):
-        part, held, first = TaskContext.get().partitionId(), [], []
-        for batch in batches:
-            new = list(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True))
-            first += new[: max(0, window - len(first))]
-            for at in range(0, len(new), step):
-                held += new[at : at + step]
-                tags = np.array([_tag(p, key) for p, key, _, _ in held])
-                yield _pairs(*_near(np.array([r[2] for r in held]), tags, [np.frombuffer(r[3]) for r in held], window, least))
-                held = held[-window:]
-        if first:
-            yield _edge("head", part, first)
-            yield _edge("tail", part, held)
+        read = [b for b in batches if b.num_rows]
+        if not read:
+            return
+        rows = pa.Table.from_batches(read)
+        which, dims, keys, nodes = (rows.column(i).to_numpy() for i in range(4))
+        units = rows.column(4).to_pylist()
+        ends = np.flatnonzero((np.diff(which) != 0) | (np.diff(dims) != 0)) + 1
+        for low, high in zip([0, *ends.tolist()], [*ends.tolist(), len(keys)], strict=True):
+            k, n = keys[low:high], nodes[low:high]
+            # the first and the last rows of the partition may have more of their prefix elsewhere
+            shared = np.zeros(high - low, np.int64)
+            for end in ([0] if low == 0 else []) + ([-1] if high == len(keys) else []):
+                shared = np.maximum(shared, _BITS + 1 - _length(k ^ k[end]))
+            depth = np.zeros(high - low, np.int64)
+            for x, y, d in _split(k, leaf):
+                if y - x > leaf:
+                    depth[x:y] = _BITS + 1
+                    continue
+                depth[x:y] = d
+                m = np.stack([np.frombuffer(u) for u in units[low + x : low + y]])
+                near = m @ m.T >= least
+                np.fill_diagonal(near, False)
+                some = np.flatnonzero(near.any(axis=1))
+                if len(some):
+                    near = near[np.ix_(some, some)]
+                    np.fill_diagonal(near, True)
+                    yield out(*_linked(n[x:y][some], n[x:y][some], near), None)
+            depth = np.maximum(depth, shared)
+            with np.errstate(divide="ignore"):
+                gain = np.minimum(np.where(depth > _BITS, 0.0, -np.log1p(-(agree ** depth))), 1e6)
+            yield out(n, None, gain)
 
     return run
 
 
-def _seams(window: int, least: float):
-    """pandas group of one seam: the tail of a partition, then the head of the following one."""
+def _groups(batches, width: int, of: int):
+    """Rows of sorted batches, a list for each value of their first ``of`` columns."""
+    rows: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(batch.column(k).to_pylist() for k in range(width)), strict=True):
+            if rows and rows[-1][:of] != row[:of]:
+                yield rows
+                rows = []
+            rows.append(row)
+    if rows:
+        yield rows
 
-    def run(rows):
-        rows = rows.sort_values(["side", "at"])
-        tags = np.array([_tag(p, key) for p, key in zip(rows["pass"], rows["key"], strict=True)])
-        a, b = _near(rows["a"].to_numpy(), tags, [np.frombuffer(u) for u in rows["unit"]], window, least)
-        return type(rows)({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+def _block_pairs(least: float):
+    """Rows sorted by dim, i, j: dim, i, j, own, node, unit. Linked pairs between two blocks, or inside one where i = j."""
+
+    def run(batches):
+        for rows in _groups(batches, 6, 3):
+            _, i, j, own, nodes, units = zip(*rows, strict=True)
+            m, own, nodes = np.stack([np.frombuffer(u) for u in units]), np.array(own), np.array(nodes)
+            left, right = np.flatnonzero(own == i[0]), np.flatnonzero(own == j[0])
+            near = m[left] @ m[right].T >= least
+            if i[0] == j[0]:
+                np.fill_diagonal(near, True)
+            a, b = _linked(nodes[left], nodes[right], near)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
 
+def _every_pair(rest: DataFrame, n: int, block: int, least: float) -> DataFrame:
+    """Linked pairs (a, b) of n vectors, each compared with each."""
+    blocks = max(1, -(-n // block))
+    own = rest.select((F.length("unit") / 8).cast("int").alias("dim"), F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias("own"), "node", "unit")
+    spread = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    spread = spread.select("dim", F.least("own", "other").cast("int").alias("i"), F.greatest("own", "other").cast("int").alias("j"), "own", "node", "unit")
+    dealt = spread.repartition("dim", "i", "j").sortWithinPartitions("dim", "i", "j")
+    return dealt.mapInArrow(_block_pairs(least), "a long, b long")
+
+
+def _linked_pairs(distinct: DataFrame, scratch: Scratch, least: float, miss: float, leaf: int, exhaustive: int, seed: int) -> DataFrame:
+    """Linked pairs (a, b) that connect what all links connect, but for a link at ``least`` with an estimated chance of at most ``miss``.
+
+    Rounds of passes, as many as the counted vectors need at their expected depth; a
+    vector is done once its own leaves were shallow enough for ``miss``.  What is left,
+    in dense places, goes through further rounds as long as these cost less than
+    comparing each with each, which is what happens to the rest.
+    """
+    rest, n, found = distinct, distinct.count(), []
+    need, agree = -math.log(miss), 1 - math.acos(least) / math.pi
+    gain = -math.log1p(-(agree ** max(1, math.ceil(math.log2(max(n, 2) / leaf)))))
+    lacking = need
+    while n > exhaustive:
+        passes = math.ceil(1.15 * lacking / gain)
+        if passes * leaf >= n * 2:  # blocks of each with each then deal fewer rows
+            break
+        keyed = rest.mapInArrow(_keyed(passes, seed + len(found)), "pass int, dim int, key long, node long, unit binary")
+        ordered = keyed.repartitionByRange(max(1, -(-n * passes // _ROWS)), "pass", "dim", "key", "node").sortWithinPartitions("pass", "dim", "key", "node")
+        seen = scratch.save(ordered.mapInArrow(_leaves(leaf, least), "a long, b long, gain double"), "seen")
+        found.append(seen.where("b IS NOT NULL").select("a", "b"))
+        gains = seen.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("gain").alias("gain"))
+        if "lacking" not in rest.columns:
+            rest = rest.withColumn("lacking", F.lit(need))
+        left = rest.join(gains, "node").withColumn("lacking", F.col("lacking") - F.col("gain")).where("lacking > 0")
+        rest = scratch.save(left.select("node", "unit", "lacking", (F.col("gain") / passes).alias("each")), "rest")
+        n, lacking, gain = rest.agg(F.count("*"), F.max("lacking"), F.percentile_approx("each", 0.1)).first()
+        rest = rest.drop("each")
+        if not n or not gain:
+            break
+    if n:
+        found.append(_every_pair(rest.select("node", "unit"), n, leaf, least))
+    return functools.reduce(DataFrame.unionByName, found) if found else distinct.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+
+
 def _block_counts(least: float):
     """Rows sorted by g: g, own, i, j, node, copies, unit. For each row the number of vectors that it links with in the other block (in its own where i = j)."""
 
@@ -182,21 +278,14 @@ def _block_counts(least: float):
         return counts(i[0], j[0], np.array(own), np.array(nodes), np.array(copies), units)
 
     def run(batches):
-        rows: list[tuple] = []
-        for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
-                if rows and rows[-1][0] != row[0]:
-                    yield flush(rows)
-                    rows = []
-                rows.append(row)
-        if rows:
+        for rows in _groups(batches, 7, 1):
             yield flush(rows)
 
     return run
 
 
 def near_vectors(
-    vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9, passes: int = 16, window: int = 48, block: int = 512, seed: int = 5
+    vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9, miss: float = 1e-4, leaf: int = 1024, exhaustive: int = 4096, block: int = 512, seed: int = 5
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row for each row of ``vectors``.
 
@@ -206,6 +295,9 @@ def near_vectors(
     zero or hold null or non-finite components link with nothing.  Rows of equal
     content are copies of each other and link; so do repeated rows.  A row with a
     null id takes part, stays null, and names a component only if no other can.
+    Up to ``exhaustive`` different vectors are compared each with each; of more, as
+    many passes run as make the estimated chance of missing a link at exactly ``least``
+    at most ``miss``.
     Columns other than the two named are ignored.
     """
     spark = vectors.sparkSession
@@ -214,15 +306,8 @@ def near_vectors(
     rows = scratch.save(source.mapInArrow(_content, "vec_id long, node long, unit binary"), "rows")
     per = rows.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("copies"), F.min("vec_id").alias("lowest"))
     distinct = rows.where("node IS NOT NULL").dropDuplicates(["node"]).select("node", "unit")
-    keyed = distinct.mapInArrow(_keyed(passes, seed), "pass int, key binary, node long, unit binary")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = keyed.repartitionByRange(parts, "pass", "key", "node").sortWithinPartitions("pass", "key", "node")
-    found = scratch.save(ordered.mapInArrow(_windows(window, least), _PASS_SCHEMA), "found")
-    ends = found.where("kind <> 'pair'")
-    seam = F.when(F.col("kind") == "tail", F.col("part")).otherwise(F.col("part") - 1)
-    ends = ends.select(seam.alias("seam"), (F.col("kind") == "head").cast("int").alias("side"), "at", "a", "pass", "key", "unit")
-    across = ends.groupBy("seam").applyInPandas(_seams(window, least), "a long, b long")
-    pairs = found.where("kind = 'pair'").select("a", "b").unionByName(across)
+    distinct = scratch.save(distinct, "distinct")
+    pairs = _linked_pairs(distinct, scratch, least, miss, leaf, exhaustive, seed)
     labels = scratch.save(connected_components(pairs, "a", "b"), "labels")
     # every pair of blocks of a component, so that each link counts
     sized = labels.join(labels.groupBy("component").agg(F.count("*").alias("members")), "component")

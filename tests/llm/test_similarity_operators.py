@@ -105,6 +105,30 @@ def test_near_vectors_against_brute_force(spark, seed):
     assert sorted_projection.near_vectors(df.limit(0)).collect() == []
 
 
+def planted_vectors(seed, n, dense):
+    """Unit vectors in 64 dimensions, a share of them around one direction, and for a third of all a partner at cosine 0.901."""
+    r = np.random.default_rng(seed)
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    m = unit(r.standard_normal((n, 64)))
+    hot = int(n * dense)
+    m[:hot] = unit(math.sqrt(0.8) * unit(r.standard_normal((1, 64))) + math.sqrt(0.2) * m[:hot])
+    base = m[::3]
+    side = r.standard_normal(base.shape)
+    side = unit(side - (side * base).sum(axis=1, keepdims=True) * base)
+    return np.concatenate([m, 0.901 * base + math.sqrt(1 - 0.901**2) * side])
+
+
+@pytest.mark.parametrize("dense, settings", [(0, {"leaf": 64, "exhaustive": 256}), (0.33, {}), (0.33, {"leaf": 64, "exhaustive": 256})])
+def test_near_vectors_finds_isolated_pairs_and_dense_groups(spark, dense, settings):
+    m = planted_vectors(3, 6000, dense)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in sorted_projection.near_vectors(df, **settings).collect()}
+    near = np.triu(m @ m.T >= 0.9, 1)
+    links = list(zip(*(x.tolist() for x in np.nonzero(near)), strict=True))
+    assert {i: r.component_id for i, r in got.items()} == components(range(len(m)), links)
+    assert [got[i].n_links for i in range(len(m))] == (near.sum(0) + near.sum(1)).tolist()
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_top_k_against_brute_force(spark, seed):
     r = random.Random(seed)
