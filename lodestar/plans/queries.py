@@ -197,8 +197,8 @@ def graph_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def batch_envelope(spark: SparkSession, sf: str) -> DataFrame:
-    orders = table(spark, sf, "orders").where("o_orderkey % 10 = 0").select(F.col("o_orderkey").alias("batch"))
-    items = table(spark, sf, "lineitem").where("l_linenumber <= 3").select(F.col("l_orderkey").alias("batch"), F.col("l_linenumber").alias("seq"), F.col("l_partkey").alias("part"), F.col("l_quantity").cast("int").alias("quantity"))
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("batch"))
+    items = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("batch"), F.col("l_linenumber").alias("seq"), F.col("l_partkey").alias("part"), F.col("l_quantity").cast("int").alias("quantity"))
     out = knowledge.batch_envelopes(orders, items, "batch", ["part", "quantity"])
     return out.select("batch", F.size("results").alias("n"), F.array_join(F.transform("results", lambda r: F.concat(r["part"].cast("string"), F.lit(":"), r["quantity"].cast("string"))), ";").alias("results"))
 
