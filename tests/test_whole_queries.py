@@ -1,5 +1,7 @@
 """Registered queries over small tables of their own, against brute force."""
 
+import random
+
 from lodestar.plans.queries import QUERIES
 
 
@@ -16,3 +18,16 @@ def test_batch_envelope_regroups_every_order_and_line(spark, tmp_path):
     got = {r.batch: (r.n, r.results) for r in QUERIES["batch_envelope"](spark, sf).collect()}
     lines = {k: [f"{p}:{int(q)}" for o, _, p, q in items if o == k] for (k,) in orders}
     assert got == {k: (len(x), ";".join(x)) for k, x in lines.items()}
+
+
+def test_vector_search_asks_with_every_hundredth_id(spark, tmp_path):
+    r = random.Random(4)
+    rows = [(i, [r.gauss(0, 1) for _ in range(8)], 0) for i in range(1, 1301) if i not in (3, 77, 141)]
+    sf = written(spark, tmp_path, embeddings=(rows, "vec_id long, embedding array<double>, label int"), documents=([(i, f"text {i}") for i, _, _ in rows], "doc_id long, text string"))
+    got = {(x.query_id, x["rank"]): (x.doc_id, x.text) for x in QUERIES["vector_search"](spark, sf).collect()}
+    unit = {i: [x / sum(y * y for y in v) ** 0.5 for x in v] for i, v, _ in rows}
+    want = {}
+    for q in range(100, 1301, 100):
+        scored = sorted((-sum(a * b for a, b in zip(unit[q], unit[i], strict=True)), i) for i in unit)
+        want |= {(q, k): (i, f"text {i}") for k, (s, i) in enumerate(scored[:10], 1) if -s >= 0.25}
+    assert got == want and len(want) == 130
