@@ -156,7 +156,7 @@ def bind_known_models(spark: SparkSession, sf: str) -> DataFrame:
     e = entities(spark, sf)
     known = e.where("seq % 3 = 0").select("category", F.concat_ws("-", F.slice(F.split("product_model", "-"), 1, 2)).alias("model"))
     known = known.unionByName(e.where("seq % 5 = 0").select("category", F.col("product_model").alias("model")))
-    bound = matching.bind_to_known_models(e.where("seq % 2 = 1").select("seq", "category", "product_model"), known, ["category"])
+    bound = matching.bind_to_known_models(e.select("seq", "category", "product_model"), known, ["category"])
     return bound.select("seq", "known_model")
 
 

@@ -3,6 +3,7 @@
 import random
 
 from lodestar.plans.queries import QUERIES
+from lodestar.plans.views import entities
 
 
 def written(spark, folder, **tables):
@@ -31,3 +32,18 @@ def test_vector_search_asks_with_every_hundredth_id(spark, tmp_path):
         scored = sorted((-sum(a * b for a, b in zip(unit[q], unit[i], strict=True)), i) for i in unit)
         want |= {(q, k): (i, f"text {i}") for k, (s, i) in enumerate(scored[:10], 1) if -s >= 0.25}
     assert got == want and len(want) == 130
+
+
+def test_bind_known_models_binds_even_rows_too(spark, tmp_path):
+    r = random.Random(6)
+    words = ["red", "blue", "green", "steel", "brass", "bolt", "ring"]
+    rows = [(i, " ".join(r.choices(words, k=3)), f"Brand#{r.randint(1, 9)}", r.choice(["SMALL", "LARGE"]), r.randint(1, 9), 1.0) for i in range(1, 241)]
+    sf = written(spark, tmp_path, part=(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"))
+    e = [(x.seq, x.category, x.product_model) for x in entities(spark, sf).collect()]
+    known = {(c, "-".join(m.split("-")[:2])) for s, c, m in e if s % 3 == 0} | {(c, m) for s, c, m in e if s % 5 == 0}
+    want = []
+    for seq, category, model in e:
+        inside = sorted((-len(m), m) for c, m in known if c == category and m in model)
+        want += [(seq, model)] if (category, model) in known else [(seq, m) for _, m in inside[:12]]
+    got = sorted((x.seq, x.known_model) for x in QUERIES["bind_known_models"](spark, sf).collect())
+    assert got == sorted(want) and any(seq % 2 == 0 for seq, _ in got)
