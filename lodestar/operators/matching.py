@@ -45,14 +45,17 @@ def occurrences(names: DataFrame, pages: DataFrame, name: str, page: str, text:
 def occurrence_pairs_of_texts(items: DataFrame, docs: DataFrame, item: str, doc: str, text: str, words: int = 6) -> DataFrame:
     """(item, doc) where an item's whole text, word by word and without case, is inside a document.
 
-    They meet over the item's first few words; a document emits one fragment for each
-    of its words, as a hash, and only those that an item begins with survive the join.
+    They meet over the item's first few words, or all of them if it has fewer; a document
+    emits one fragment of each such length for each of its words, as a hash, and only
+    those that an item begins with survive the join. Items without words are in none.
     """
     clean = lambda c: F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(c), F.lit(""))), r"[^\p{L}\p{N}]+", " ")), " ")
-    left = items.select(F.col(item), clean(text).alias("w")).where(F.size("w") >= words)
-    left = left.select(item, F.array_join("w", " ").alias("phrase"), F.xxhash64(F.array_join(F.slice("w", 1, words), " ")).alias("_piece"))
-    right = docs.select(F.col(doc), clean(text).alias("w")).where(F.size("w") >= words)
-    fragments = F.transform(F.sequence(F.lit(1), F.size("w") - (words - 1)), lambda i: F.xxhash64(F.array_join(F.slice(F.col("w"), i, words), " ")))
+    left = items.select(F.col(item), clean(text).alias("w")).withColumn("n", F.least(F.size("w"), F.lit(words))).where("w[0] <> ''")
+    lengths = sorted(r.n for r in left.select("n").distinct().collect())  # as many as words at most
+    left = left.select(item, F.array_join("w", " ").alias("phrase"), F.xxhash64(F.array_join(F.slice("w", F.lit(1), F.col("n")), " ")).alias("_piece"))
+    right = docs.select(F.col(doc), clean(text).alias("w")).where(F.size("w") >= min(lengths, default=words))
+    of = lambda n: F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: F.xxhash64(F.array_join(F.slice(F.col("w"), i, n), " ")))).otherwise(F.array().cast("array<bigint>"))
+    fragments = F.flatten(F.array(*(of(n) for n in lengths or [words])))
     hits = right.select(doc, F.explode(F.array_distinct(fragments)).alias("_piece")).join(left.select("_piece", item, "phrase"), "_piece").select(doc, item, "phrase")
     bodies = right.select(doc, F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" ")).alias("body"))
     return hits.join(bodies, doc).where(F.contains("body", F.concat(F.lit(" "), F.col("phrase"), F.lit(" ")))).select(item, doc).distinct()

@@ -47,3 +47,11 @@ def test_bind_known_models_binds_even_rows_too(spark, tmp_path):
         want += [(seq, model)] if (category, model) in known else [(seq, m) for _, m in inside[:12]]
     got = sorted((x.seq, x.known_model) for x in QUERIES["bind_known_models"](spark, sf).collect())
     assert got == sorted(want) and any(seq % 2 == 0 for seq, _ in got)
+
+
+def test_name_occurrences_finds_items_of_any_length(spark, tmp_path):
+    items = [(1, "Fan"), (2, "red fan"), (3, "a b c d e"), (4, "a b c d e f"), (5, "a b c d e f g h"), (6, "..."), (7, None)]
+    docs = [(1, "The red-fan."), (2, "fan"), (3, "x a b c d e f g h y"), (4, "fans of a b c d e"), (5, ""), (6, None)]
+    sf = written(spark, tmp_path, benchmark=(items, "item_id long, text string"), documents=(docs, "doc_id long, text string"))
+    got = sorted((x.item_id, x.doc_id) for x in QUERIES["name_occurrences"](spark, sf).collect())
+    assert got == [(1, 1), (1, 2), (2, 1), (3, 3), (3, 4), (4, 3), (5, 3)]
