@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
+_files: set[tuple[str, str]] = set()
 
 #: Bytes of rows that one Arrow batch to a Python worker holds, so that long texts don't add up there.
 BATCH_BYTES = 16 << 20
@@ -33,3 +34,12 @@ def ship(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(name)
         _shipped.add(app)
     return spark
+
+
+def ship_file(spark: SparkSession, path: str) -> str:
+    """Send a file to the executors, once for each application; its name, under which ``SparkFiles.get`` finds it there."""
+    app = spark.sparkContext.applicationId
+    if (app, path) not in _files:
+        spark.sparkContext.addFile(path)
+        _files.add((app, path))
+    return os.path.basename(path)
