@@ -179,15 +179,36 @@ def fold_characters(m: Mapped) -> Mapped:
 
 
 _OPEN, _CLOSE, _GAP = r"[\[({<]", r"[\])}>]", r"[\s_-]{1,3}"
-_DOT_WORD = r"(?:dot|punkt|punto|point)"
+_DOT_WORDS = ("dot", "punkt", "punto", "point")
+_DOT_WORD = f"(?:{'|'.join(_DOT_WORDS)})"
 _BRACKETED = re.compile(rf"\s?{_OPEN}\s?(?:(at|ät|arroba|arobase|chez|@)|({_DOT_WORD}|\.))\s?{_CLOSE}\s?", re.IGNORECASE)
-_SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])\s{1,2}@\s{1,2}(?=[A-Za-z0-9])")
+_MIDDLE_DOT = re.compile("(?<=[A-Za-z0-9])[·‧∙•](?=[A-Za-z])")
+_SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])(?:\s{1,2}@\s{0,2}|@\s{1,2})(?=[A-Za-z0-9-]+(?:\.|\s\.\s)[A-Za-z0-9])")
+_SPACED_DOTS = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?P<dots>(?:\s\.\s[a-z0-9-]+)+)(?![A-Za-z0-9])")
+
+
+def _lone_letters(text: str) -> list[tuple[int, int, str]]:
+    """Edits that close up three or more single characters with a space between each two, in front of an at sign."""
+    edits, at, floor = [], text.find("@"), 0
+    while at >= 0:
+        low = at - 1
+        while low - 2 >= floor and text[low - 1] == " " and text[low] in _LOCAL and text[low - 2] in _LOCAL:
+            low -= 2
+        if low > floor and text[low - 1] in _LOCAL:  # the end of a longer word
+            low += 2
+        if low <= at - 5:
+            edits += [(k, k + 2, text[k]) for k in range(low, at - 1, 2)]
+        floor, at = at + 1, text.find("@", at + 1)
+    return edits
 
 
 def open_brackets(m: Mapped) -> Mapped:
-    """``[at]``, ``(dot)`` and the like, and an at sign between spaces."""
+    """``[at]``, ``(dot)`` and the like, middle dots in words, spaces around the at sign and the dots of an address or between the letters of its name."""
     m = m.rewrite([(*x.span(), "@" if x.group(1) else ".") for x in _BRACKETED.finditer(m.text)])
-    return m.rewrite([(*x.span(), "@") for x in _SPACED_AT.finditer(m.text)])
+    m = m.rewrite([(*x.span(), ".") for x in _MIDDLE_DOT.finditer(m.text)])
+    m = m.rewrite([(*x.span(), "@") for x in _SPACED_AT.finditer(m.text)])
+    m = m.rewrite([(d.start() + x.start("dots"), d.end() + x.start("dots"), ".") for x in _SPACED_DOTS.finditer(m.text) for d in re.finditer(r"\s\.\s", x.group("dots"))])
+    return m.rewrite(_lone_letters(m.text))
 
 
 #: Names of digits.
@@ -202,6 +223,8 @@ _WORDS = "|".join(sorted(DIGIT_WORDS, key=lambda w: -len(w)))
 _SPELLED = re.compile(rf"(?<![^\W_])(?:(?:{_WORDS})(?![^\W\d_])|[0-9]+)", re.IGNORECASE)
 _BETWEEN = re.compile(r"[\s,;/()_-]{1,3}\Z")
 _LETTER_DIGITS = re.compile(r"(?<=[0-9])[OoIl]+(?=[0-9])")
+_LETTER_QUAD = re.compile(r"(?<![A-Za-z0-9.])[0-9OoIl]{1,3}(?:\.[0-9OoIl]{1,3}){3}(?![A-Za-z0-9]|\.[A-Za-z0-9])")
+_AS_DIGITS = {79: "0", 111: "0", 73: "1", 108: "1"}
 _PLUS = re.compile(r"(?<![^\W_])plus[\s_-]{1,2}(?=[0-9])", re.IGNORECASE)
 _DOT_IN_DIGITS = re.compile(rf"(?<=[0-9])(?:{_GAP}{_DOT_WORD}{_GAP}|\s\.\s)(?=[0-9])", re.IGNORECASE)
 
@@ -218,13 +241,12 @@ def read_digits(m: Mapped) -> Mapped:
         before, after = k > 0 and near[k - 1], k + 1 < len(items) and near[k]
         if before and spelled[k - 1] or after and spelled[k + 1] or before and after:
             digit = DIGIT_WORDS[word.lower()]
-            if edits and before and spelled[k - 1] and edits[-1][1] == items[k - 1][1]:
-                edits[-1] = (edits[-1][0], items[k - 1][1], edits[-1][2])
-                edits.append((items[k - 1][1], hi, digit))
-            else:
-                edits.append((lo, hi, digit))
+            joined = edits and before and spelled[k - 1] and edits[-1][1] == items[k - 1][1]
+            edits.append((items[k - 1][1] if joined else lo, hi, digit))
     m = m.rewrite(edits)
-    m = m.rewrite([(*x.span(), x.group().translate({79: "0", 111: "0", 73: "1", 108: "1"})) for x in _LETTER_DIGITS.finditer(m.text)])
+    m = m.rewrite([(*x.span(), x.group().translate(_AS_DIGITS)) for x in _LETTER_DIGITS.finditer(m.text)])
+    quads = [x for x in _LETTER_QUAD.finditer(m.text) if sum(part.isdigit() for part in x.group().split(".")) >= 2]
+    m = m.rewrite([(x.start() + k, x.start() + k + 1, c.translate(_AS_DIGITS)) for x in quads for k, c in enumerate(x.group()) if c in "OoIl"])
     m = m.rewrite([(*x.span(), "+") for x in _PLUS.finditer(m.text)])
     return m.rewrite([(*x.span(), ".") for x in _DOT_IN_DIGITS.finditer(m.text)])
 
@@ -232,23 +254,47 @@ def read_digits(m: Mapped) -> Mapped:
 _LABEL = r"[A-Za-z0-9]+(?:-[A-Za-z0-9]+)*?"
 _CHAIN = re.compile(rf"(?:(?P<at>{_GAP}at{_GAP})|@)(?P<domain>{_LABEL}(?:\.{_LABEL}|{_GAP}{_DOT_WORD}{_GAP}{_LABEL})+)(?![A-Za-z0-9])", re.IGNORECASE)
 _SAID_DOT = re.compile(rf"{_GAP}{_DOT_WORD}{_GAP}", re.IGNORECASE)
-_LAST_WORD = re.compile(rf"(?:[A-Za-z0-9._%+]{{1,64}}{_GAP}{_DOT_WORD}{_GAP}){{0,4}}[A-Za-z0-9._%+-]{{1,64}}\Z", re.IGNORECASE)
+_SAID_BEFORE = re.compile(rf"{_GAP}(?:{'|'.join(w[::-1] for w in _DOT_WORDS)}){_GAP}(?=[A-Za-z0-9._%+-])", re.IGNORECASE)
+
+
+def _name_start(text: str, back: str, floor: int, at: int) -> int:
+    """Where the name that ends at ``at`` starts: a run of its characters and, before it, as often as they come, a spelled dot and another run.
+
+    ``back`` is the text read from its end, so that a spelled dot is matched from the run leftwards.
+    """
+    low = at
+    while True:
+        run = low
+        while run > floor and text[run - 1] in _LOCAL:
+            run -= 1
+        if run == low:
+            return low
+        said = _SAID_BEFORE.match(back, len(text) - run, len(text) - floor)
+        if said is None:
+            return run
+        low = len(text) - said.end()
 
 
 def join_addresses(m: Mapped) -> Mapped:
-    """``name at host dot tld``: an at word counts where a dot is spelled too, or where the name has a digit or a sign in it."""
+    """``name at host dot tld``: an at word counts where a dot is spelled too, or where the name has a digit or a sign in it.
+
+    A name reaches back as far as its parts go, but not into the address before it.
+    """
     edits: list[tuple[int, int, str]] = []
-    for x in _CHAIN.finditer(m.text):
+    text, back, floor = m.text, "", 0
+    for x in _CHAIN.finditer(text):
         dots = [(d.start() + x.start("domain"), d.end() + x.start("domain"), ".") for d in _SAID_DOT.finditer(x.group("domain"))]
         at, own = x.start(), []
-        name = _LAST_WORD.search(m.text, max(edits[-1][1] if edits else 0, at - 300), at)
-        if name is None:
+        back = back or text[::-1]
+        low, floor = _name_start(text, back, floor, at), x.end()
+        name = text[low:at]
+        if not name:
             continue
         if x.group("at"):
-            if not dots and not re.search(r"[0-9._%+]", name.group()):
+            if not dots and not re.search(r"[0-9._%+]", name):
                 continue
             own = [(*x.span("at"), "@")]
-        said = [(d.start() + name.start(), d.end() + name.start(), ".") for d in _SAID_DOT.finditer(name.group())]
+        said = [(d.start() + low, d.end() + low, ".") for d in _SAID_DOT.finditer(name)]
         edits += said + own + dots
     return m.rewrite(edits)
 
@@ -264,7 +310,8 @@ _TRIGGER = "(?i)" + "|".join(
         rf"[0-9][\s,;/()_-]{{1,3}}(?:{_W2})\b",
         rf"{_OPEN}\s?(?:at|ät|arroba|arobase|chez|@|{_DOT_WORD}|\.)\s?{_CLOSE}",
         rf"[\s_-]{_DOT_WORD}[\s_-]",
-        r"\s@\s|[0-9][OoIl]+[0-9]|\bplus[\s_-]{1,2}[0-9]|[0-9]\s\.\s[0-9]",
+        r"[A-Za-z0-9](?:\s{1,2}@|@\s{1,2}[A-Za-z0-9])|@[A-Za-z0-9.-]+\s\.\s| [A-Za-z0-9._]@|[A-Za-z0-9][·‧∙•][A-Za-z]|[0-9]\.[0-9OoIl]*[OoIl]|\b[OoIl]+\.[0-9OoIl]",
+        r"[0-9][OoIl]+[0-9]|\bplus[\s_-]{1,2}[0-9]|[0-9]\s\.\s[0-9]",
         r"[\s_-]at[\s_-]{1,3}[A-Za-z0-9-]+\.[A-Za-z]",
     ]
 )

@@ -1,11 +1,18 @@
 import hashlib
+import math
 import random
 import re
+import struct
+import time
 import zlib
 
+import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
+import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from lodestar.llm import bpe_pieces, chat_collapse, compression_quality, license_rules, packing, pii
@@ -62,6 +69,14 @@ def test_base_spans_against_brute_force(alphabet):
         ("x 192[.]168[.]1[.]10 y", "ip", "192[.]168[.]1[.]10"),
         ("x 192 dot 168 dot 1 dot 10 y", "ip", "192 dot 168 dot 1 dot 10"),
         ("x １９２．１６８．０．１ y", "ip", "１９２．１６８．０．１"),
+        ("x a1 dot b dot c dot d dot e dot f dot g dot h at host dot com y", "email", "a1 dot b dot c dot d dot e dot f dot g dot h at host dot com"),
+        ("x " + "n" * 81 + " dot b at host dot com y", "email", "n" * 81 + " dot b at host dot com"),
+        ("x " + "nam3 dot " * 400 + "b at host dot com y", "email", "nam3 dot " * 400 + "b at host dot com"),
+        ("x 192.168.l.1 y", "ip", "192.168.l.1"),
+        ("x jane @example.com y", "email", "jane @example.com"),
+        ("x jane @ example . com y", "email", "jane @ example . com"),
+        ("x j.doe@example·com y", "email", "j.doe@example·com"),
+        ("x of j a n e @ example.com y", "email", "j a n e @ example.com"),
     ],
 )
 def test_disguises(spark, text, kind, span):
@@ -71,11 +86,62 @@ def test_disguises(spark, text, kind, span):
     assert (name, text[int(lo) : int(hi)]) == (kind, span)
 
 
-@pytest.mark.parametrize("text", ["look at example.com", "the dot is at home", "one two three", "почта@example.com", "he was at one. Two of it", "at 5 dot 3"])
+@pytest.mark.parametrize("text", ["look at example.com", "the dot is at home", "one two three", "почта@example.com", "he was at one. Two of it", "at 5 dot 3", "he said so @ home. Then", "a·b 2·3·5·7", "so l.O.I.l is"])
 def test_plain_words_stay(spark, text):
     assert pii.pii_spans(docs(spark, [text])).first().spans == ""
 
 
+def disguised(r):
+    """An identifier, written in one of many disguises, with its kind: a plain model of what the transducers undo."""
+    word = lambda: "".join(r.choices("bcdfghkmnpqrstvwz", k=r.randint(4, 9)))
+    names = dict(zip("0123456789", "zero one two three four five six seven eight nine".split(), strict=True))
+    like = {"a": "а", "c": "с", "p": "р", "o": "о", "x": "х"}
+    wide = lambda t: "".join(chr(ord(c) + 0xFEE0) if "!" <= c <= "~" else c for c in t)
+    kind = r.choice(["email", "phone", "card", "ip"])
+    if kind == "email":
+        plain = f"{word()}{r.randrange(10)}@{word()}p.com"
+        at, dot = r.choice([(" at ", " dot "), ("[at]", "[dot]"), (" (at) ", " (dot) "), ("{@}", "."), (" @ ", "."), ("_at_", "_dot_")])
+        forms = [plain.replace("@", at).replace(".", dot), wide(plain), plain[:-4] + "\u200b" + plain[-4:], "".join(like.get(c, c) for c in plain)]
+    elif kind == "ip":
+        plain = ".".join(str(r.randint(1, 255)) for _ in range(4))
+        forms = [plain.replace(".", r.choice(["[.]", " dot ", "(dot)", " . "])), wide(plain)]
+    elif kind == "card":
+        body = "4" + "".join(r.choices("0123456789", k=14))
+        plain = next(body + d for d in "0123456789" if luhn(body + d))
+        forms = [" ".join(names[d] for d in plain), wide(plain), "‑".join(plain[k : k + 4] for k in range(0, 16, 4))]
+    else:
+        plain = "+1" + "".join(r.choices("0123456789", k=10))
+        forms = ["plus " + " ".join(names[d] for d in plain[1:]), wide(plain), plain[:2] + "\u00a0" + plain[2:]]
+    return kind, plain, r.choice(forms)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_added_spans_against_planted_ones(spark, seed):
+    r = random.Random(seed)
+    texts, want = [], []
+    for _ in range(300):
+        text, spans = "", []
+        for _ in range(r.randint(0, 4)):
+            text += " ".join(r.choices("some plain, words; that. stand\nbetween them all".split(" "), k=r.randint(1, 30))) + " so: "
+            kind, plain, form = disguised(r)
+            spans.append((kind, len(text), len(text) + len(form), plain))
+            text += form + " - then "
+        texts.append(text)
+        want.append(spans)
+    for row in pii.pii_spans(docs(spark, texts)).collect():
+        got = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in row.spans.split(",") if x)]
+        for kind, lo, hi, plain in want[row.doc_id]:
+            assert (kind, lo, hi) in got, (texts[row.doc_id][lo:hi], plain)
+        assert len(got) == len(want[row.doc_id]), texts[row.doc_id]
+
+
+def test_pii_takes_time_in_proportion():
+    for unit in ("a at b.c ", "x dot ", "j ", "at a dot ", "a @ ", "@a . b", "one ", "1.l."):
+        began = time.time()
+        pii.find(pa.array([unit * 60_000]))
+        assert time.time() - began < 15, unit
+
+
 def test_pii_edges_and_redaction(spark):
     df = docs(spark, [*TEXTS, "mail a@b.cd, again a@b.cd"], spans="s", n_email="n")
     rows = {r.doc_id: r for r in pii.pii_spans(df).collect()}
@@ -225,6 +291,72 @@ def test_quality_never_learns_held_out_labels(spark):
     assert compression_quality.fit(df, labels) == compression_quality.fit(df, flipped)
 
 
+def brute_quality(texts, labels):
+    """Scores by the stated rule in plain Python: texts {id: [text]}, labels [(id, label)]."""
+    by = {}
+    for i, label in labels:
+        if zlib.crc32(str(i).encode()) % 4 != 2:
+            by.setdefault(i, set()).add(label)
+    known = {i: min(x) for i, x in by.items() if len(x) == 1}
+    hashed = lambda i: xxhash.xxh64_intdigest(struct.pack("<q", i), 42)
+    order = lambda i: (hashed(i) - (1 << 64) if hashed(i) >> 63 else hashed(i), i)
+    ranked = [sorted((i for i, x in known.items() if x == label), key=order) for label in (0, 1)]
+    cut = [min(2000, (len(x) + 1) // 2) for x in ranked]
+    text_of = lambda i: min((t for t in texts.get(i, []) if t), default=None)
+    first = sorted((i for x, n in zip(ranked, cut) for i in x[:n] if text_of(i)), key=lambda i: (zlib.crc32(f"order {i}".encode()), str(i)))
+    dictionaries = [compression_quality.build_dictionary([b for i in first if known[i] == label for b in compression_quality.spread_blocks(text_of(i), 32)], 1 << 17) for label in (0, 1)]
+    pair = [zstandard.ZstdCompressor(level=1, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_checksum=False, write_dict_id=False) for d in dictionaries]
+
+    def numbers(text):
+        raw = (text or "").encode()
+        sizes = [sum(len(c.compress(raw[k : k + 1024])) - 6 for k in range(0, len(raw), 1024)) for c in pair]
+        return [(sizes[0] - sizes[1]) / (len(raw) + 16), math.log((sizes[1] + 1) / (len(raw) + 1) + 0.01), math.log(len(raw) + 1)]
+
+    rest = [i for x, n in zip(ranked, cut) for i in x[n:] if text_of(i)]
+    centre, scale, w = compression_quality.fit_logistic(np.array([numbers(text_of(i)) for i in rest]), np.array([known[i] for i in rest], float))
+    return {(i, t): 1 / (1 + math.exp(-(w[0] + ((np.array(numbers(t)) - centre) / scale) @ w[1:]))) for i, x in texts.items() for t in x}
+
+
+def test_quality_against_brute_force(spark):
+    df, labels = labelled(spark)
+    long = " ".join(["the river bright house"] * 9000)
+    assert len(long) > 1 << 16
+    more = spark.createDataFrame([(1, "another text of a known id"), (1, "another text of a known id"), (2, long), (901, long), (902, None), (903, "")], "doc_id long, text string")
+    df = df.where("doc_id <> 2").unionByName(more).withColumn("label", F.lit("clash"))
+    labels = labels.unionByName(spark.createDataFrame([(5, 1), (5, 0), (6, 7), (None, 1), (8, None)], "doc_id long, quality int"))
+    texts = {}
+    for r in df.collect():
+        texts.setdefault(r.doc_id, []).append(r.text)
+    want = brute_quality(texts, [(r.doc_id, r.quality) for r in labels.collect() if r.doc_id is not None and r.quality in (0, 1)])
+    got = compression_quality.score(df, compression_quality.fit(df, labels))
+    pairs = got.join(df.withColumnRenamed("text", "own").select("doc_id", "own"), "doc_id").collect()
+    assert got.count() == df.count()
+    assert all(any(abs(r.score - want[r.doc_id, t]) < 1e-9 for t in texts[r.doc_id]) for r in pairs)
+
+
+def test_long_labelled_texts_teach(spark):
+    r = random.Random(5)
+    rows = [(i, " ".join(r.choices(["river", "garden", "stone"] if i % 2 else ["BUY!", "###", "deal$"], k=12_000)), i % 2) for i in range(60)]
+    assert min(len(t) for _, t, _ in rows) > 1 << 16 - 1
+    df = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
+    model = compression_quality.fit(df, spark.createDataFrame([(a, c) for a, _, c in rows], "doc_id long, quality int"))
+    out = compression_quality.score(df, model).collect()
+    assert all((x.score > 0.5) == bool(x.doc_id % 2) for x in out)
+    assert len(compression_quality.spread_blocks("x" * 10_000, 4)) == 4
+
+
+def test_empty_tables_and_repeated_rows(spark):
+    none = docs(spark, ["x"]).limit(0)
+    assert packing.pack_documents(none, JSON, P.PATTERN).collect() == []
+    assert bpe_pieces.encode_digests(none, RANKS, P.PATTERN).collect() == [] and bpe_pieces.encode(none, RANKS, P.PATTERN).collect() == []
+    assert license_rules.scan(none).collect() == []
+    twice = spark.createDataFrame([(1, "Released under the MIT License. a@b.cd"), (1, "Released under the MIT License. a@b.cd"), (None, None)], "doc_id long, text string")
+    pieces = packing.pack_documents(twice, JSON, P.PATTERN).collect()
+    assert sum(r.length for r in pieces if r.doc_id == 1) == 2 * next(r.doc_tokens for r in pieces if r.doc_id == 1)
+    for out in (bpe_pieces.encode_digests(twice, RANKS, P.PATTERN), license_rules.scan(twice), pii.pii_spans(twice)):
+        assert sorted(r.doc_id or 0 for r in out.collect()) == [0, 1, 1]
+
+
 def test_quality_edges(spark):
     df, labels = labelled(spark, 60)
     only = compression_quality.fit(df, labels.where("quality = 1"))
