@@ -8,8 +8,10 @@ labelled documents, turns the difference into a probability, given how well the
 text compresses at all and how long it is.
 
 The dictionaries and the curve are fitted on bounded samples (``dictionary_docs``
-and ``calibration_docs`` rows of each label, in the order of a hash of the id);
-every document is scored, whole.
+and ``calibration_docs`` documents of each label, in the order of a hash of the id).
+Of a dictionary document, ``sample_blocks`` blocks count, spread evenly over the
+whole text; the curve is fitted on whole texts, whose features are taken where the
+rows are.  Every document is scored, whole.
 """
 
 from __future__ import annotations
@@ -27,7 +29,6 @@ from pyspark.sql import functions as F
 BLOCK = 1024
 LEVEL = 1
 FRAME = 6  # bytes of every compressed block that don't depend on its content
-LONGEST_SAMPLE = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -74,11 +75,16 @@ def features(text: str, bad, good) -> tuple[float, float, float]:
     return (with_bad - with_good) / (n + 16), math.log((with_good + 1) / (n + 1) + 0.01), math.log(n + 1)
 
 
-def build_dictionary(texts: list[str], size: int) -> bytes:
+def spread_blocks(text: str, most: int) -> list[bytes]:
+    """At most so many blocks of the text, evenly spread over the whole of it."""
+    found = blocks(text)
+    return found if len(found) <= most else [found[k * len(found) // most] for k in range(most)]
+
+
+def build_dictionary(samples: list[bytes], size: int) -> bytes:
     """A trained dictionary; of too few samples to train on, their last bytes."""
     import zstandard
 
-    samples = [b for text in texts for b in blocks(text)]
     try:
         return zstandard.train_dictionary(size, samples, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
@@ -104,41 +110,63 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", dictionary_docs: int = 2000, calibration_docs: int = 4000, dictionary_size: int = 1 << 17) -> QualityModel:
+def _sampled(docs: DataFrame, picked: DataFrame) -> DataFrame:
+    """(label, doc_id, text) of picked ids, one text for each: of an id with several texts, the smallest.
+
+    ``picked`` has a bounded number of rows, so it may be broadcast and the grouping is small, however often an id comes.
+    """
+    return docs.join(F.broadcast(picked), "doc_id").groupBy("label", "doc_id").agg(F.min("text").alias("text"))
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+    dictionary_docs: int = 2000, calibration_docs: int = 4000, dictionary_size: int = 1 << 17, sample_blocks: int = 32,
+) -> QualityModel:
     """Learn from labelled rows outside the held-out part.
 
     Documents with contradicting labels, labels other than 0 and 1, null ids and empty
-    texts teach nothing.  With fewer than two labels to learn from, the score of every
-    document is the share of label 1 (a half, if there is no label).
+    texts teach nothing; of an id that comes with several texts, the smallest one does.
+    With fewer than two labels to learn from, the score of every document is the share
+    of label 1 (a half, if there is no label).  The driver gets at most
+    2 x ``dictionary_docs`` x ``sample_blocks`` blocks of 1 KB and 2 x ``calibration_docs``
+    rows of three numbers.
     """
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("doc_id IS NOT NULL AND label IN (0, 1)")
     known = known.where(~is_held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other")
-    order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text <> ''").where(F.octet_length("text") <= LONGEST_SAMPLE)
-    both = []
-    for label in (0, 1):
-        ranked = known.where(F.col("label") == label).orderBy(*order).limit(dictionary_docs + calibration_docs)
-        both.append(ranked.select("doc_id", "label"))
-    picked = both[0].unionByName(both[1])  # at most 2 (dictionary_docs + calibration_docs) ids, so it may be broadcast
-    sample = texts.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text").collect()
-    sample.sort(key=lambda r: (_order(r.doc_id), str(r.doc_id), r.text))
-    by_label = {label: [r.text for r in sample if r.label == label] for label in (0, 1)}
-    share = len(by_label[1]) / len(sample) if sample else 0.5
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text <> ''")
+    ranked = [known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(dictionary_docs + calibration_docs).select("doc_id", "label").collect() for label in (0, 1)]
+    spark, kind = docs.sparkSession, f"doc_id {labels.schema[id_col].dataType.simpleString()}, label int"
+    # of few labelled rows, half teach the dictionaries and the others the curve
+    cut = [min(dictionary_docs, (len(rows) + 1) // 2) for rows in ranked]
+    first = spark.createDataFrame([r for rows, n in zip(ranked, cut, strict=True) for r in rows[:n]], kind)
+    rest = spark.createDataFrame([r for rows, n in zip(ranked, cut, strict=True) for r in rows[n:] or rows], kind)
+
+    def pieces(batches):
+        for batch in batches:
+            found = [spread_blocks(text, sample_blocks) for text in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.string()), pa.array(found, pa.list_(pa.binary()))], names=["label", "doc_id", "blocks"])
+
+    sample = _sampled(texts, first).mapInArrow(pieces, "label int, doc_id string, blocks array<binary>").collect()
+    sample.sort(key=lambda r: (zlib.crc32(f"order {r.doc_id}".encode()), r.doc_id))
+    by_label = {label: [bytes(b) for r in sample if r.label == label for b in r.blocks] for label in (0, 1)}
     if not by_label[0] or not by_label[1]:
-        share = min(max(share, 1e-6), 1 - 1e-6)
+        counts = [sum(r.label == label for r in sample) for label in (0, 1)]
+        share = min(max(counts[1] / sum(counts), 1e-6), 1 - 1e-6) if sample else 0.5
         return QualityModel(b"\n", b"\n", (0.0,) * 3, (1.0,) * 3, (math.log(share / (1 - share)), 0.0, 0.0, 0.0))
-    cut = {label: min(dictionary_docs, (len(t) + 1) // 2) for label, t in by_label.items()}
-    bad, good = (build_dictionary(by_label[label][: cut[label]], dictionary_size) for label in (0, 1))
-    pair = _compressors(bad, good)
-    rest = {label: t[cut[label] :] or t for label, t in by_label.items()}
-    x = np.array([features(t, *pair) for label in (0, 1) for t in rest[label]])
-    y = np.array([label for label in (0, 1) for _ in rest[label]], float)
-    centre, scale, weights = fit_logistic(x, y)
-    return QualityModel(bad, good, tuple(centre), tuple(scale), tuple(weights))
+    bad, good = (build_dictionary(by_label[label], dictionary_size) for label in (0, 1))
 
-
-def _order(doc_id: object) -> int:
-    return zlib.crc32(f"order {doc_id}".encode())
+    def measured(batches):
+        pair = _compressors(bad, good)
+        for batch in batches:
+            found = np.array([features(text, *pair) for text in batch.column(2).to_pylist()]).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.string()), *(pa.array(found[:, k]) for k in range(3))], names=["label", "doc_id", "x0", "x1", "x2"])
+
+    measure = lambda picked: sorted(tuple(r) for r in _sampled(texts, picked).mapInArrow(measured, "label int, doc_id string, x0 double, x1 double, x2 double").collect())
+    seen = measure(rest)
+    if len({r[0] for r in seen}) < 2:  # the curve's documents of a label are missing or empty
+        seen = measure(rest.unionByName(first))
+    centre, scale, weights = fit_logistic(np.array([r[2:] for r in seen]), np.array([r[0] for r in seen], float))
+    return QualityModel(bad, good, tuple(centre), tuple(scale), tuple(weights))
 
 
 def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text", accept: float = 0.7) -> DataFrame:
