@@ -144,6 +144,28 @@ def test_top_k_against_brute_force(spark, seed):
     assert got == want
 
 
+def test_top_k_keeps_rows_that_share_an_id(spark):
+    rows = [(0, [1.0, 0.0]), (7, [0.5, 0.0]), (7, [0.9, 0.0]), (8, [0.6, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r["rank"], r.vec_id, r.score) for r in threshold_topk.top_k(df).orderBy("rank").collect()]
+    assert got == [(1, 7, 1024 * 921), (2, 8, 1024 * 614), (3, 7, 1024 * 512)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_top_k_of_hot_and_repeated_ids_against_brute_force(spark, seed):
+    r = random.Random(seed)
+    rows = [(r.choice([5, 5, 100, r.randrange(400)]), [r.choice([-1.0, 0.0, 0.5, r.random()]) for _ in range(5)]) for _ in range(900)]
+    rows += [rows[3]] * 300
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(x) for x in threshold_topk.top_k(df, block=30, query_block=3).collect())
+    ints = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
+    want = []
+    for q in sorted({i for i, _ in rows if i % 100 == 0}):
+        scored = sorted((-sum(a * b for a, b in zip(x, v)), c) for i, x in ints if i == q for c, v in ints if c != q)
+        want += [(q, k, c, -s) for k, (s, c) in enumerate(scored[:10], 1)]
+    assert got == want
+
+
 def test_top_k_small_and_large_values(spark):
     df = spark.createDataFrame([(0, [1e30, -1.0]), (1, [1.0, 2.0]), (2, [-3.0, 1.0])], "vec_id long, embedding array<double>")
     got = threshold_topk.top_k(df).orderBy("rank").collect()
