@@ -29,14 +29,20 @@ class BoostedTrees:
 
 
 def fit_trees(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = 60, depth: int = 4, rate: float = 0.25, bins: int = 32, l2: float = 1.0) -> BoostedTrees:
-    """Newton boosting of the logistic loss; splits by binned gain, level by level."""
+    """Newton boosting of the logistic loss; splits by binned gain, level by level.
+
+    A matrix says which row lies above which cut of which feature, so that the sums
+    over the rows right of every possible split of a level are one product.
+    """
     cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(x.shape[1])]
-    binned = np.stack([np.searchsorted(c, x[:, f], side="left") for f, c in enumerate(cuts)], axis=1)
+    owner, cut = np.repeat(np.arange(len(cuts)), [len(c) for c in cuts]), np.concatenate(cuts)
+    above = (x[:, owner] > cut).astype(np.float32).T
     base = float(np.average(y, weights=weight))
     start = float(np.log(base / (1 - base)))
     score = np.full(len(x), start)
     inner = (1 << depth) - 1
     features, thresholds, leaves = np.zeros((trees, inner), np.int64), np.full((trees, inner), np.inf), np.zeros((trees, 1 << depth))
+    rows = np.arange(len(x))
     for t in range(trees):
         p = 1 / (1 + np.exp(-score))
         g, h = (p - y) * weight, p * (1 - p) * weight
@@ -44,23 +50,18 @@ def fit_trees(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = 60,
         for level in range(depth):
             first, width = (1 << level) - 1, 1 << level
             own = at - first
-            gain = np.zeros(width)
+            sums = np.zeros((len(x), 2 * width), np.float32)
+            sums[rows, own], sums[rows, width + own] = g, h
+            right = (above @ sums).astype(np.float64)
+            right_g, right_h = right[:, :width], right[:, width:]
             total_g, total_h = np.bincount(own, g, width), np.bincount(own, h, width)
-            for f, c in enumerate(cuts):
-                if not len(c):
-                    continue
-                key = own * (len(c) + 1) + binned[:, f]
-                left_g = np.bincount(key, g, width * (len(c) + 1)).reshape(width, -1).cumsum(axis=1)[:, :-1]
-                left_h = np.bincount(key, h, width * (len(c) + 1)).reshape(width, -1).cumsum(axis=1)[:, :-1]
-                right_g, right_h = total_g[:, None] - left_g, total_h[:, None] - left_h
-                gains = left_g**2 / (left_h + l2) + right_g**2 / (right_h + l2) - (total_g**2 / (total_h + l2))[:, None]
-                best = gains.argmax(axis=1)
-                value = gains[np.arange(width), best]
-                better = value > gain + 1e-9
-                gain = np.where(better, value, gain)
-                features[t, first : first + width][better] = f
-                thresholds[t, first : first + width][better] = c[best[better]]
-            at = 2 * at + 1 + (x[np.arange(len(x)), features[t, at]] > thresholds[t, at])
+            left_g, left_h = total_g - right_g, np.maximum(total_h - right_h, 0)
+            gains = left_g**2 / (left_h + l2) + right_g**2 / (right_h + l2) - total_g**2 / (total_h + l2)
+            best = gains.argmax(axis=0)
+            better = gains[best, np.arange(width)] > 1e-9
+            features[t, first : first + width][better] = owner[best[better]]
+            thresholds[t, first : first + width][better] = cut[best[better]]
+            at = 2 * at + 1 + (x[rows, features[t, at]] > thresholds[t, at])
         own = at - inner
         leaves[t] = -rate * np.bincount(own, g, 1 << depth) / (np.bincount(own, h, 1 << depth) + l2)
         score += leaves[t][own]

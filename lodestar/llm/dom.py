@@ -47,28 +47,85 @@ class Page:
         return " ".join(filter(None, (" ".join(b.split()) for b in blocks)))
 
 
-def _tag_end(source: str, at: int) -> int:
-    """The place of the > that ends the tag whose name ends at ``at``, past quoted values; -1 if there is none."""
-    while True:
-        end = source.find(">", at)
-        if end < 0:
-            return -1
-        quote = min((q for q in (source.find('"', at, end), source.find("'", at, end)) if q >= 0), default=-1)
-        if quote < 0 or not source[at:quote].rstrip().endswith("="):
+class _TagEnds:
+    """Ends of tags, past quoted values. Remembers that a quote comes no more, so that a page is searched once."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.gone = {'"': False, "'": False}
+
+    def after(self, at: int) -> int:
+        """The place of the > that ends the tag whose name ends at ``at``; -1 if there is none."""
+        source, end = self.source, -1
+        while True:
+            if end < at:
+                end = source.find(">", at)
+                if end < 0:
+                    return -1
+            quote = min((q for q in (source.find('"', at, end), source.find("'", at, end)) if q >= 0), default=-1)
             if quote < 0:
                 return end
-            at = quote + 1
-            continue
-        close = source.find(source[quote], quote + 1)
-        if close < 0:
-            return end
-        at = close + 1
+            if not source[at:quote].rstrip().endswith("="):
+                at = quote + 1
+                continue
+            close = -1 if self.gone[source[quote]] else source.find(source[quote], quote + 1)
+            if close < 0:
+                self.gone[source[quote]] = True
+                return end
+            at = close + 1
+
+
+class _Open:
+    """The open elements: a stack, and for each tag, and for all blocks, the places on it."""
+
+    def __init__(self) -> None:
+        self.stack = [0]
+        self.tags = ["#page"]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, node: int, tag: str) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append(node)
+        self.tags.append(tag)
+
+    def cut(self, place: int) -> None:
+        """Close all from this place on."""
+        while len(self.stack) > place:
+            tag = self.tags.pop()
+            self.stack.pop()
+            self.places[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+
+    def last(self, *tags: str) -> int:
+        """The highest place of one of the tags, 0 if none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def end(self, tag: str) -> None:
+        place = self.last(tag)
+        if place:
+            self.cut(place)
+
+    def make_way(self, tag: str) -> None:
+        """Close what a new element of this tag ends."""
+        if tag in _CLOSES_P:
+            if self.blocks and self.tags[self.blocks[-1]] == "p":
+                self.cut(self.blocks[-1])
+        elif tag in _SAME:
+            while (place := self.last(*_SAME[tag])) > self.last(*_BARRIER[tag]):
+                found = self.tags[place]
+                self.cut(place)
+                if tag != "tr" or found == "tr":
+                    break
 
 
 def parse(source: str) -> Page:
     page = Page()
-    stack, block, at, n = [0], 0, 0, len(source)
-    tags, parents, marks = page.tag, page.parent, page.marks
+    opened, ends, block, at, n = _Open(), _TagEnds(source), 0, 0, len(source)
+    stack, tags, parents, marks = opened.stack, page.tag, page.parent, page.marks
     lowered: str | None = None
 
     def say(text: str) -> None:
@@ -103,35 +160,16 @@ def parse(source: str) -> Page:
             at = n if end < 0 else end + 1
             continue
         name = name_at.group().lower()
-        end = _tag_end(source, name_at.end())
+        end = ends.after(name_at.end())
         if end < 0:
             break  # cut off within a tag
         at = end + 1
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if tags[stack[k]] == name:
-                    del stack[k:]
-                    break
+            opened.end(name)
             if name in BLOCK:
                 block += 1
             continue
-        if name in _CLOSES_P:
-            for k in range(len(stack) - 1, 0, -1):
-                held = tags[stack[k]]
-                if held == "p":
-                    del stack[k:]
-                    break
-                if held in BLOCK:
-                    break
-        elif name in _SAME:
-            for k in range(len(stack) - 1, 0, -1):
-                held = tags[stack[k]]
-                if held in _SAME[name]:
-                    del stack[k:]
-                    if name != "tr" or held == "tr":
-                        break
-                elif held in _BARRIER[name]:
-                    break
+        opened.make_way(name)
         if name in BLOCK:
             block += 1
         if name == "br" or name == "hr" or name == "wbr":
@@ -142,7 +180,7 @@ def parse(source: str) -> Page:
         marks.append(" ".join(f"{m[0].lower()}={m[1] or m[2] or m[3]}" for m in _ATTRIBUTE.findall(own)) if "=" in own or "hidden" in own else "")
         if name in VOID or own.endswith("/") and name not in BLOCK and name not in RAW:
             continue
-        stack.append(len(tags) - 1)
+        opened.push(len(tags) - 1, name)
         if name in RAW:
             lowered = source.lower() if lowered is None else lowered
             if len(lowered) != n:  # a letter whose lower case is longer; find the end tag as written

@@ -1,10 +1,15 @@
+import itertools
+import random
+import time
+
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lodestar.llm import html_extract
-from lodestar.llm.dom import parse
+from lodestar.llm.dom import Page, parse
 
 DATA = "/root/testdata/sf0.001"
 
@@ -38,6 +43,51 @@ def test_odd_sources(source):
     assert isinstance(text_of(source), str)
 
 
+@pytest.mark.parametrize("source", ["</i>" * 200_000, "<b>" * 60_000 + "</i>" * 60_000, "<b>" * 40_000 + "<p></p>" * 40_000, "<p><div>" + "<b>" * 40_000 + "<hr>" * 40_000, "<div>" + "<b><li>" * 40_000, "<a " + '"' * 200_000 + ">", "<a b='>" * 60_000, "<table>" + "<b><tr>" * 40_000])
+def test_reading_takes_time_in_proportion(source):
+    began = time.time()
+    parse(source)
+    assert time.time() - began < 5
+
+
+def brute_decoding(parents, odds):
+    """The best total of every set of elements that holds the parent of each of its own."""
+    best = 0.0
+    for bits in itertools.product([False, True], repeat=len(parents)):
+        if all(not bits[k] or k == 0 or bits[parents[k]] for k in range(len(parents))):
+            best = max(best, sum(o for o, b in zip(odds, bits, strict=True) if b))
+    return best
+
+
+def test_decoding_against_brute_force():
+    r = random.Random(3)
+    for _ in range(150):
+        n = r.randint(1, 11)
+        parents = [-1, *(r.randrange(k) for k in range(1, n))]
+        page = Page(tag=["#page", *("div" for _ in range(n - 1))], parent=parents, marks=[""] * n)
+        odds = np.array([r.gauss(0, 2) for _ in range(n)])
+        kept = html_extract.decode(page, odds)
+        assert all(not kept[k] or k == 0 or kept[parents[k]] for k in range(n))
+        assert abs(odds[kept].sum() - brute_decoding(parents, odds)) < 1e-9
+
+
+ONE = "The ferry left the harbour at dawn, with forty passengers and a cargo of letters, and nobody on the pier looked up."
+TWO = "By noon the wind had turned, so the captain put in at the next island, where the post office had been closed for years."
+#: Layouts that the page maker does not write: name, source, text.
+LAYOUTS = [
+    ("tables for layout", f'<table><tr><td class="nav"><a href=a>Home</a> <a href=b>News</a></td><td class="content"><h1>A crossing</h1><p>{ONE}</p><p>{TWO}</p></td></tr></table>', f"A crossing {ONE} {TWO}"),
+    ("nested wrappers", f'<div><div><div class="header"><a href="/">Site</a></div><div><div class="post"><h2>A crossing</h2><p>{ONE}</p><div><p>{TWO}</p></div></div></div></div><div class="footer">Imprint</div></div>', f"A crossing {ONE} {TWO}"),
+    ("upper-case tags", f'<HTML><BODY><NAV><A HREF=x>Start</A></NAV><ARTICLE><H1>A crossing</H1><P>{ONE}<P>{TWO}</ARTICLE><FOOTER>(c)</FOOTER></BODY></HTML>', f"A crossing {ONE} {TWO}"),
+    ("section in main", f'<main><section><h1>A crossing</h1><p>{ONE}</p></section><section><p>{TWO}</p></section></main><aside><ul><li><a href=x>More</a></li></ul></aside>', f"A crossing {ONE} {TWO}"),
+    ("comments in lists", f'<article><h1>A crossing</h1><p>{ONE}</p><p>{TWO}</p></article><div id="comments"><ol><li><p>I was on that ferry as well, and I remember the letters.</p></li></ol></div>', f"A crossing {ONE} {TWO}"),
+]
+
+
+@pytest.mark.parametrize("name, source, text", LAYOUTS, ids=[x[0] for x in LAYOUTS])
+def test_layouts_of_another_hand(name, source, text):
+    assert text_of(f"<!DOCTYPE html><html><body>{source}</body></html>") == text
+
+
 def test_blocks_and_references():
     page = parse("<div>a<b>b</b>c<p>d\n  e&nbsp;f<li>g</div>tail")
     assert page.text([True] * len(page.tag)) == "abc d e f g tail"
