@@ -18,11 +18,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.bpe_pieces import byte_characters
+from lodestar.session import ship_file
 
 WINDOW_TOKENS = 1 << 22
 
@@ -63,35 +64,53 @@ def document_cost(tokens: np.ndarray, linear: float, quadratic: float) -> np.nda
     return linear * tokens + quadratic * tokens * tokens
 
 
-def pack_window(lengths: np.ndarray, capacity: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int, int]]:
-    """Pieces (document, start, length, sequence, offset) that cover every token of a window once."""
-    pieces: list[tuple[int, int, int, int, int]] = []
-    sequence = 0
-    for doc in np.flatnonzero(lengths >= capacity).tolist():
-        for start in range(0, int(lengths[doc]) // capacity * capacity, capacity):
-            pieces.append((doc, start, capacity, sequence, 0))
-            sequence += 1
+def pack_window(lengths: np.ndarray, capacity: int, linear: float, quadratic: float) -> np.ndarray:
+    """Pieces that cover every token of a window once: rows of document, start, length, sequence, offset."""
+    whole = lengths // capacity
+    doc = np.repeat(np.arange(len(lengths)), whole)
+    start = (np.arange(len(doc)) - np.repeat(np.cumsum(whole) - whole, whole)) * capacity
+    sequence = len(doc)
+    full = np.full(sequence, capacity)
+    pieces = [np.stack([doc, start, full, np.arange(sequence), np.zeros(sequence, np.int64)], axis=1)]
     rest = lengths % capacity
     total = int(rest.sum())
     if not total:
-        return pieces
+        return pieces[0]
     sizes = [capacity] * (total // capacity)
     sizes += [1 << bit for bit in range(capacity.bit_length() - 1, -1, -1) if total % capacity >> bit & 1]
     room, used, cost = np.array(sizes), np.zeros(len(sizes), np.int64), np.zeros(len(sizes))
-    for doc in np.argsort(-rest, kind="stable").tolist():
-        start, left = int(lengths[doc] - rest[doc]), int(rest[doc])
-        while left:
-            fits = room >= left
-            if not fits.any():
-                fits = room > 0
-            at = int(np.argmin(np.where(fits, cost, np.inf)))
-            take = min(left, int(room[at]))
-            pieces.append((doc, start, take, sequence + at, int(used[at])))
-            room[at] -= take
-            used[at] += take
-            cost[at] += float(document_cost(np.array(take), linear, quadratic))
-            start, left = start + take, left - take
-    return pieces
+    order = np.argsort(-rest, kind="stable")
+    order = order[: np.count_nonzero(rest)]
+    for group in np.split(order, np.flatnonzero(np.diff(rest[order])) + 1):
+        # documents of one remainder go one by one to the cheapest sequence with room; as each adds the same
+        # cost, these are the cheapest of all places that the sequences have for this remainder
+        size = int(rest[group[0]])
+        step = float(document_cost(np.array(size), linear, quadratic))
+        places = np.minimum(room // size, len(group))
+        at = np.repeat(np.arange(len(sizes)), places)
+        nth = np.arange(len(at)) - np.repeat(np.cumsum(places) - places, places)
+        first = np.lexsort((at, cost[at] + nth * step))[: len(group)]
+        at, nth = at[first], nth[first]
+        placed = group[: len(at)]
+        pieces.append(np.stack([placed, lengths[placed] - size, np.full(len(at), size), sequence + at, used[at] + nth * size], axis=1))
+        taken = np.bincount(at, minlength=len(sizes))
+        room -= taken * size
+        used += taken * size
+        cost += taken * step
+        for one in group[len(at) :].tolist():  # no sequence has room for the whole; each cut fills one up
+            begin, left = int(lengths[one]) - size, size
+            while left:
+                fits = room >= left
+                if not fits.any():
+                    fits = room > 0
+                k = int(np.argmin(np.where(fits, cost, np.inf)))
+                take = min(left, int(room[k]))
+                pieces.append(np.array([[one, begin, take, sequence + k, used[k]]]))
+                room[k] -= take
+                used[k] += take
+                cost[k] += float(document_cost(np.array(take), linear, quadratic))
+                begin, left = begin + take, left - take
+    return np.concatenate(pieces)
 
 
 _SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -120,8 +139,10 @@ def pack_documents(
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
+    shipped = ship_file(docs.sparkSession, tokenizer_path)
+
     def run(batches):
-        encode = encoder(tokenizer_path, pattern)
+        encode = encoder(SparkFiles.get(shipped), pattern)
         base = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         names, tokens, held, sequences = [], [], 0, 0
 
@@ -129,10 +150,10 @@ def pack_documents(
             nonlocal names, tokens, held, sequences
             lengths = np.array([len(t) for t in tokens], np.int64)
             pieces = pack_window(lengths, capacity, linear, quadratic)
-            doc, start, length, sequence, offset = (np.array(x, np.int64) for x in zip(*pieces, strict=True))
-            cut = [tokens[d][s : s + n] for d, s, n, _, _ in pieces]
+            doc, start, length, sequence, offset = (np.ascontiguousarray(x, np.int64) for x in pieces.T)
+            cut = [tokens[d][s : s + n] for d, s, n in zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)]
             columns = [
-                pa.array([names[d] for d in doc], docs_type),
+                pa.array([names[d] for d in doc.tolist()], docs_type),
                 *(pa.array(x) for x in (start, length)),
                 pa.array([zlib.crc32(x.tobytes()) for x in cut], pa.int64()),
                 *(pa.array(x) for x in (lengths[doc], sequence + sequences + base, offset)),
