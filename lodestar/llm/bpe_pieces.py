@@ -15,10 +15,15 @@ import struct
 from functools import lru_cache
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_CACHE = 200_000
+from lodestar.session import ship_file
+
+#: Bytes of pre-tokens and of what they encode to that a worker remembers, and the longest pre-token that is worth it.
+_CACHE_BYTES = 64 << 20
+_CACHED_WORD = 64
 
 
 def byte_characters() -> list[str]:
@@ -81,6 +86,7 @@ class PieceCoder:
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(self.ranks))
         self.split = regex.compile(pattern).findall
         self.known: dict[str, tuple[int, str, bytes]] = {}
+        self.held = 0
 
     def encode_word(self, word: str) -> list[int]:
         raw = word.encode("utf-8", "surrogatepass")
@@ -96,9 +102,12 @@ class PieceCoder:
     def _coded(self, word: str) -> tuple[int, str, bytes]:
         ids = self.encode_word(word)
         found = (len(ids), ",".join(map(str, ids)), self.decode(ids))
-        if len(self.known) >= _CACHE:
-            self.known.clear()
-        self.known[word] = found
+        if len(word) <= _CACHED_WORD:
+            if self.held >= _CACHE_BYTES:
+                self.known.clear()
+                self.held = 0
+            self.known[word] = found
+            self.held += 300 + 4 * len(word) + len(found[1]) + len(found[2])  # 300: objects and their place in the table
         return found
 
     def encode(self, text: str) -> list[int]:
@@ -122,8 +131,10 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     A null or empty text has no ids.  One row for each row; other columns are ignored.
     """
 
+    shipped = ship_file(docs.sparkSession, path)
+
     def run(batches):
-        own = coder(path, pattern)
+        own = coder(SparkFiles.get(shipped), pattern)
         for batch in batches:
             ids = [own.encode(text or "") for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([own.decode(x) for x in ids], pa.binary())], names=["doc_id", "ids", "decoded"])
@@ -137,8 +148,10 @@ def encode_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_
     A null text counts as empty.  One row for each row; other columns are ignored.
     """
 
+    shipped = ship_file(docs.sparkSession, path)
+
     def run(batches):
-        own = coder(path, pattern)
+        own = coder(SparkFiles.get(shipped), pattern)
         for batch in batches:
             n, ids, decoded = [], [], []
             for text in batch.column(1).to_pylist():
