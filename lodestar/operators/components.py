@@ -49,14 +49,15 @@ def _is_star_forest(edges: DataFrame) -> bool:
     return (per_node.agg(F.max("load")).first()[0] or 0) <= 1
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", chunk: int = CHUNK, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", chunk: int = CHUNK, max_rounds: int = 60, scratch: Scratch | None = None) -> DataFrame:
     """(node, component) for every node that has an edge to another node.
 
     ``component`` is the smallest node id reachable.  Null ends and self-loops
     are ignored, repeated edges count once, an empty edge table gives an empty
-    result.  Columns other than the two named are ignored.
+    result.  Columns other than the two named are ignored.  The tables that the result
+    reads are in ``scratch``, if one is given, for its owner to delete.
     """
-    scratch = Scratch(edges.sparkSession, "components")
+    scratch = scratch or Scratch(edges.sparkSession, "components")
     a, b = F.col(src).cast("long"), F.col(dst).cast("long")
     given = scratch.save(edges.where(a.isNotNull() & b.isNotNull() & (a != b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")), "given")
     chunks = max(1, -(-given.count() // chunk))
