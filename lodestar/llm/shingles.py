@@ -7,8 +7,6 @@ fewer words is one shingle, a text without words (or a null) has none.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -60,11 +58,6 @@ def shingle_set(text: str | None, width: int = 5) -> np.ndarray:
     return np.unique(mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64)))
 
 
-def set_key(hashes: np.ndarray) -> int:
-    """A signed 64-bit name of a shingle set; equal sets have equal names."""
-    return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "big", signed=True)
-
-
 def signature_seeds(size: int, seed: int = 20) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
     return rng.integers(0, 1 << 63, size, np.uint64) | np.uint64(1), rng.integers(0, 1 << 63, size, np.uint64)
@@ -80,7 +73,10 @@ def minwise(hashes: np.ndarray, seeds: tuple[np.ndarray, np.ndarray]) -> np.ndar
 
 
 def pack(hashes: np.ndarray) -> bytes:
-    """The set as sorted 48-bit values of six bytes each: what a comparison ships."""
+    """The set as sorted 48-bit values of six bytes each: what a comparison ships.
+
+    Two different shingles of two sets of n and m fall together with a chance of n m / 2**48.
+    """
     return np.ascontiguousarray((hashes >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
 
