@@ -15,7 +15,6 @@ Vectors of equal content are compared once, whatever their number.
 from __future__ import annotations
 
 import functools
-import hashlib
 import math
 
 import numpy as np
@@ -23,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.llm.names import content_name, settle_names
 from lodestar.operators.components import connected_components
 from lodestar.storage import Scratch
 
@@ -46,42 +46,71 @@ def rows_of(column: pa.Array) -> list[np.ndarray | None]:
     return out
 
 
-def _content(batches):
-    """vec_id, node (a name of the vector's content, null if it can't link), unit (its direction in float64 bytes)."""
-    for batch in batches:
-        node, unit = [], []
-        for x in rows_of(batch.column(1)):
-            largest = np.abs(x).max() if x is not None and len(x) else 0.0
-            if not largest:
-                node.append(None)
-                unit.append(None)
-                continue
-            y = x / largest  # keeps the norm from overflowing
-            node.append(int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "big", signed=True))
-            unit.append((y / np.sqrt(y @ y)).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, pa.int64()), pa.array(unit, pa.binary())], names=["vec_id", "node", "unit"])
+def _content(bits: int):
+    """vec_id, node and check (a name of the vector's content, null if it can't link), dim, raw (its components: as floats where these are exact, else as doubles)."""
+
+    def run(batches):
+        for batch in batches:
+            name, dim, raw = [], [], []
+            for x in rows_of(batch.column(1)):
+                if x is None or not x.any():
+                    name.append((None, None))
+                    dim.append(None)
+                    raw.append(None)
+                    continue
+                name.append(content_name(x.tobytes(), bits))
+                dim.append(len(x))
+                with np.errstate(over="ignore"):
+                    short = x.astype(np.float32)
+                raw.append((short if (short == x).all() else x).tobytes())
+            node, check = ([n[k] for n in name] for k in (0, 1))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(node, pa.int64()), pa.array(check, pa.int64()), pa.array(dim, pa.int32()), pa.array(raw, pa.binary())], names=["vec_id", "node", "check", "dim", "raw"]
+            )
+
+    return run
+
+
+def _units(raw: list[bytes], dim: int) -> np.ndarray:
+    """The directions of vectors, in doubles; each row depends on its own vector alone."""
+    m = np.stack([np.frombuffer(x, np.float32 if len(x) == 4 * dim else np.float64).astype(np.float64) for x in raw])
+    m /= np.abs(m).max(axis=1, keepdims=True)  # keeps the norm from overflowing
+    return m / np.sqrt((m * m).sum(axis=1, keepdims=True))
+
+
+def _near(left: np.ndarray, right: np.ndarray, least: float) -> np.ndarray:
+    """Which rows have a cosine of at least ``least``: by one product, and by the pair's own sum where rounding could decide, so that a pair is judged alike everywhere."""
+    cosine = left @ right.T
+    near = cosine >= least
+    i, j = np.nonzero(np.abs(cosine - least) < 1e-9)
+    for at in range(0, len(i), 1 << 16):
+        a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+        near[a, b] = (left[a] * right[b]).sum(axis=1) >= least
+    return near
 
 
 def _keyed(passes: int, seed: int):
-    """A row for each vector and pass: pass, dim, key (sign bits, the first one highest), node, unit."""
+    """Rows node, dim, raw. A row for each vector and pass: pass, dim, key (sign bits, the first one highest), node, raw."""
     planes: dict[int, np.ndarray] = {}
     weights = 1 << np.arange(_BITS - 1, -1, -1, dtype=np.int64)
 
     def run(batches):
         for batch in batches:
-            nodes, units = batch.column(0), batch.column(1).to_pylist()
-            dims = np.array([len(u) // 8 for u in units], np.int32)
-            keys = np.zeros((passes, len(units)), np.int64)
+            nodes, raw = batch.column(0), batch.column(2).to_pylist()
+            dims = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int32)
+            keys = np.zeros((passes, len(raw)), np.int64)
             for dim in set(dims.tolist()):
                 if dim not in planes:
                     planes[dim] = np.random.default_rng([seed, dim]).standard_normal((passes * _BITS, dim))
                 at = np.flatnonzero(dims == dim)
                 for some in np.array_split(at, -(-len(at) // 1024)):
-                    m = np.stack([np.frombuffer(units[i]) for i in some.tolist()])
-                    keys[:, some] = ((m @ planes[dim].T > 0).reshape(len(some), passes, _BITS) @ weights).T
+                    m = _units([raw[i] for i in some.tolist()], dim)
+                    for lo in range(0, passes, 64):
+                        hi = min(passes, lo + 64)
+                        keys[lo:hi, some] = ((m @ planes[dim][lo * _BITS : hi * _BITS].T > 0).reshape(len(some), hi - lo, _BITS) @ weights).T
             for p in range(passes):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(units), p, np.int32)), pa.array(dims), pa.array(keys[p]), nodes, batch.column(1)], names=["pass", "dim", "key", "node", "unit"]
+                    [pa.array(np.full(len(raw), p, np.int32)), pa.array(dims), pa.array(keys[p]), nodes, batch.column(2)], names=["pass", "dim", "key", "node", "raw"]
                 )
 
     return run
@@ -153,7 +182,7 @@ def _leaves(leaf: int, least: float):
             return
         rows = pa.Table.from_batches(read)
         which, dims, keys, nodes = (rows.column(i).to_numpy() for i in range(4))
-        units = rows.column(4).to_pylist()
+        raw = rows.column(4).to_pylist()
         ends = np.flatnonzero((np.diff(which) != 0) | (np.diff(dims) != 0)) + 1
         for low, high in zip([0, *ends.tolist()], [*ends.tolist(), len(keys)], strict=True):
             k, n = keys[low:high], nodes[low:high]
@@ -167,8 +196,8 @@ def _leaves(leaf: int, least: float):
                     depth[x:y] = _BITS + 1
                     continue
                 depth[x:y] = d
-                m = np.stack([np.frombuffer(u) for u in units[low + x : low + y]])
-                near = m @ m.T >= least
+                m = _units(raw[low + x : low + y], int(dims[low]))
+                near = _near(m, m, least)
                 np.fill_diagonal(near, False)
                 some = np.flatnonzero(near.any(axis=1))
                 if len(some):
@@ -197,14 +226,14 @@ def _groups(batches, width: int, of: int):
 
 
 def _block_pairs(least: float):
-    """Rows sorted by dim, i, j: dim, i, j, own, node, unit. Linked pairs between two blocks, or inside one where i = j."""
+    """Rows sorted by dim, i, j: dim, i, j, own, node, raw. Linked pairs between two blocks, or inside one where i = j."""
 
     def run(batches):
         for rows in _groups(batches, 6, 3):
-            _, i, j, own, nodes, units = zip(*rows, strict=True)
-            m, own, nodes = np.stack([np.frombuffer(u) for u in units]), np.array(own), np.array(nodes)
+            dim, i, j, own, nodes, raw = zip(*rows, strict=True)
+            m, own, nodes = _units(raw, dim[0]), np.array(own), np.array(nodes)
             left, right = np.flatnonzero(own == i[0]), np.flatnonzero(own == j[0])
-            near = m[left] @ m[right].T >= least
+            near = _near(m[left], m[right], least)
             if i[0] == j[0]:
                 np.fill_diagonal(near, True)
             a, b = _linked(nodes[left], nodes[right], near)
@@ -216,9 +245,9 @@ def _block_pairs(least: float):
 def _every_pair(rest: DataFrame, n: int, block: int, least: float) -> DataFrame:
     """Linked pairs (a, b) of n vectors, each compared with each."""
     blocks = max(1, -(-n // block))
-    own = rest.select((F.length("unit") / 8).cast("int").alias("dim"), F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias("own"), "node", "unit")
+    own = rest.select("dim", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias("own"), "node", "raw")
     spread = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    spread = spread.select("dim", F.least("own", "other").cast("int").alias("i"), F.greatest("own", "other").cast("int").alias("j"), "own", "node", "unit")
+    spread = spread.select("dim", F.least("own", "other").cast("int").alias("i"), F.greatest("own", "other").cast("int").alias("j"), "own", "node", "raw")
     dealt = spread.repartition("dim", "i", "j").sortWithinPartitions("dim", "i", "j")
     return dealt.mapInArrow(_block_pairs(least), "a long, b long")
 
@@ -239,7 +268,7 @@ def _linked_pairs(distinct: DataFrame, scratch: Scratch, least: float, miss: flo
         passes = math.ceil(1.15 * lacking / gain)
         if passes * leaf >= n * 2:  # blocks of each with each then deal fewer rows
             break
-        keyed = rest.mapInArrow(_keyed(passes, seed + len(found)), "pass int, dim int, key long, node long, unit binary")
+        keyed = rest.select("node", "dim", "raw").mapInArrow(_keyed(passes, seed + len(found)), "pass int, dim int, key long, node long, raw binary")
         ordered = keyed.repartitionByRange(max(1, -(-n * passes // _ROWS)), "pass", "dim", "key", "node").sortWithinPartitions("pass", "dim", "key", "node")
         seen = scratch.save(ordered.mapInArrow(_leaves(leaf, least), "a long, b long, gain double"), "seen")
         found.append(seen.where("b IS NOT NULL").select("a", "b"))
@@ -247,45 +276,40 @@ def _linked_pairs(distinct: DataFrame, scratch: Scratch, least: float, miss: flo
         if "lacking" not in rest.columns:
             rest = rest.withColumn("lacking", F.lit(need))
         left = rest.join(gains, "node").withColumn("lacking", F.col("lacking") - F.col("gain")).where("lacking > 0")
-        rest = scratch.save(left.select("node", "unit", "lacking", (F.col("gain") / passes).alias("each")), "rest")
+        rest = scratch.save(left.select("node", "dim", "raw", "lacking", (F.col("gain") / passes).alias("each")), "rest")
         n, lacking, gain = rest.agg(F.count("*"), F.max("lacking"), F.percentile_approx("each", 0.1)).first()
         rest = rest.drop("each")
         if not n or not gain:
             break
     if n:
-        found.append(_every_pair(rest.select("node", "unit"), n, leaf, least))
+        found.append(_every_pair(rest.select("node", "dim", "raw"), n, leaf, least))
     return functools.reduce(DataFrame.unionByName, found) if found else distinct.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
 
 
 def _block_counts(least: float):
-    """Rows sorted by g: g, own, i, j, node, copies, unit. For each row the number of vectors that it links with in the other block (in its own where i = j)."""
-
-    def counts(i, j, own, nodes, copies, units):
-        m = np.stack([np.frombuffer(u) for u in units])
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        near = m[left] @ m[right].T >= least
-        out = np.zeros(len(nodes), np.int64)
-        if i == j:
-            np.fill_diagonal(near, False)
-            out[left] = near @ copies[right]
-        else:
-            out[left] = near @ copies[right]
-            out[right] = near.T @ copies[left]
-        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(out, pa.int64())], names=["node", "links"])
-
-    def flush(rows):
-        g, own, i, j, nodes, copies, units = zip(*rows, strict=True)
-        return counts(i[0], j[0], np.array(own), np.array(nodes), np.array(copies), units)
+    """Rows sorted by g: g, own, i, j, node, copies, dim, raw. For each row the number of vectors that it links with in the other block (in its own where i = j)."""
 
     def run(batches):
-        for rows in _groups(batches, 7, 1):
-            yield flush(rows)
+        for rows in _groups(batches, 8, 1):
+            _, own, i, j, nodes, copies, dim, raw = zip(*rows, strict=True)
+            m, own, copies = _units(raw, dim[0]), np.array(own), np.array(copies)
+            left, right = np.flatnonzero(own == i[0]), np.flatnonzero(own == j[0])
+            out = np.zeros(len(nodes), np.int64)
+            for at in range(0, len(left), 1024):
+                some = left[at : at + 1024]
+                near = _near(m[some], m[right], least)
+                if i[0] == j[0]:
+                    near[np.arange(len(some)), np.arange(at, at + len(some))] = False
+                else:
+                    out[right] += near.T @ copies[some]
+                out[some] += near @ copies[right]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(out, pa.int64())], names=["node", "links"])
 
     return run
 
 
 def near_vectors(
-    vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9, miss: float = 1e-4, leaf: int = 1024, exhaustive: int = 4096, block: int = 512, seed: int = 5
+    vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9, miss: float = 1e-4, leaf: int = 1024, exhaustive: int = 4096, block: int = 512, seed: int = 5, name_bits: int = 64
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row for each row of ``vectors``.
 
@@ -293,34 +317,39 @@ def near_vectors(
     least ``least``; ``n_links`` counts the other rows linked directly,
     ``component_id`` is the smallest id reachable.  Vectors that are null, empty,
     zero or hold null or non-finite components link with nothing.  Rows of equal
-    content are copies of each other and link; so do repeated rows.  A row with a
-    null id takes part, stays null, and names a component only if no other can.
-    Up to ``exhaustive`` different vectors are compared each with each; of more, as
-    many passes run as make the estimated chance of missing a link at exactly ``least``
-    at most ``miss``.
-    Columns other than the two named are ignored.
+    content (by 128 bits of a digest) are copies of each other and link; so do repeated
+    rows.  A row with a null id takes part, stays null, and names a component only if
+    no other can.  Up to ``exhaustive`` different vectors are compared each with each;
+    of more, as many passes run as make the estimated chance of missing a link at
+    exactly ``least`` at most ``miss``.  Inside a component of m vectors blocks of
+    ``block``, or of 8 sqrt(m) up to 8192 where that is more, are compared.
+    Columns other than the two named are ignored; ``name_bits`` below 64 is for tests.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "projection")
     source = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("vector"))
-    rows = scratch.save(source.mapInArrow(_content, "vec_id long, node long, unit binary"), "rows")
+    read = scratch.save(source.mapInArrow(_content(name_bits), "vec_id long, node long, check long, dim int, raw binary"), "rows")
+    rows, _ = settle_names(read, scratch)
     per = rows.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("copies"), F.min("vec_id").alias("lowest"))
-    distinct = rows.where("node IS NOT NULL").dropDuplicates(["node"]).select("node", "unit")
+    distinct = rows.where("node IS NOT NULL").dropDuplicates(["node"]).select("node", "dim", "raw")
     distinct = scratch.save(distinct, "distinct")
     pairs = _linked_pairs(distinct, scratch, least, miss, leaf, exhaustive, seed)
-    labels = scratch.save(connected_components(pairs, "a", "b"), "labels")
+    labels = scratch.save(connected_components(pairs, "a", "b", scratch=scratch), "labels")
     # every pair of blocks of a component, so that each link counts
     sized = labels.join(labels.groupBy("component").agg(F.count("*").alias("members")), "component")
-    sized = sized.withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
+    sized = sized.withColumn("blocks", F.ceil(F.col("members") / F.greatest(F.lit(block), F.least(F.lit(8192), 8 * F.sqrt("members")))).cast("int"))
     sized = sized.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     member = sized.join(distinct, "node").join(per.select("node", "copies"), "node")
     spread = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     spread = spread.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    grouped = spread.select(F.xxhash64("component", "i", "j").alias("g"), "own", "i", "j", "node", "copies", "unit").repartition("g").sortWithinPartitions("g")
+    grouped = spread.select(F.xxhash64("component", "i", "j").alias("g"), "own", "i", "j", "node", "copies", "dim", "raw").repartition("g").sortWithinPartitions("g", "own", "node")
     links = grouped.mapInArrow(_block_counts(least), "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
     classes = per.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")).join(links, "node", "left")
     lowest = classes.groupBy("component").agg(F.min("lowest").alias("component_id"))
     classes = classes.join(lowest, "component").select("node", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = rows.select("vec_id", "node").join(classes, "node", "left")
     component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+    out = out.select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+    out = scratch.save(out, "out")
+    scratch.clear(out)
+    return out

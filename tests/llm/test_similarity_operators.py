@@ -61,6 +61,57 @@ def test_near_duplicates_against_brute_force(spark, seed, leaf, depth):
     assert len(links) > 20
 
 
+def family_of_long_texts(seed, n, length, change, extra=0):
+    """Texts of one family in which each two share about the same part."""
+    r = random.Random(seed)
+    words = [f"w{k}" for k in range(5000)]
+    base = r.choices(words, k=length)
+    out = []
+    for _ in range(n):
+        copy = base[:]
+        for _ in range(change):
+            copy[r.randrange(length)] = r.choice(words)
+        out.append(" ".join(copy))
+        if extra and r.random() < extra:
+            near = copy[:]
+            near[r.randrange(length)] = "edit"
+            out.append(" ".join(near))
+    return out
+
+
+def check_near_duplicates(spark, texts, **settings):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in chosen_path.near_duplicates(df, **settings).collect()}
+    sets = [shingles(t) for t in texts]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    want = components(range(len(texts)), links)
+    assert {i: r.component_id for i, r in got.items()} == want
+    return links
+
+
+@pytest.mark.parametrize("settings", [{}, {"leaf": 32}, {"leaf": 32, "block_bytes": 20_000}])
+def test_near_duplicates_in_a_family_just_below_the_threshold(spark, settings):
+    texts = family_of_long_texts(4, 150, 400, 14, 0.3)  # most pairs are near 0.7, those with an edit more are linked
+    links = check_near_duplicates(spark, texts, **settings)
+    assert 30 < len(links) < len(texts) * len(texts) / 8
+
+
+def test_near_duplicates_with_clashing_names(spark):
+    check_near_duplicates(spark, [t for t in family_texts(5) if t], name_bits=5)
+    check_near_duplicates(spark, family_of_long_texts(6, 40, 300, 6), name_bits=3)
+
+
+def test_common_counts_against_brute_force():
+    r = random.Random(2)
+    for size in (3, 40, 90):
+        sets = [sorted({r.randrange(200 if r.random() < 0.5 else 1 << 40) for _ in range(r.randrange(300))}) for _ in range(size)]
+        packed = [chosen_path.pack(np.array(x, np.uint64) << np.uint64(16)) for x in sets]
+        i, j = (x.ravel() for x in np.meshgrid(np.arange(size), np.arange(size)))
+        apart = i != j
+        got = chosen_path._common(packed, i[apart], j[apart])
+        assert got.tolist() == [len(set(sets[a]) & set(sets[b])) for a, b in zip(i[apart].tolist(), j[apart].tolist())]
+
+
 def test_near_duplicates_edges(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (5, "a b c d e f"), (5, "a b c d e f"), (7, None), (8, "long " * 30000)], "doc_id long, text string")
     got = chosen_path.near_duplicates(df).collect()
@@ -105,6 +156,20 @@ def test_near_vectors_against_brute_force(spark, seed):
     assert sorted_projection.near_vectors(df.limit(0)).collect() == []
 
 
+def test_near_vectors_with_clashing_names_and_boundary_pairs(spark):
+    rows = vector_rows(3)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = sorted(map(tuple, sorted_projection.near_vectors(df).collect()))
+    assert sorted(map(tuple, sorted_projection.near_vectors(df, name_bits=4, block=8).collect())) == want
+    r = np.random.default_rng(1)
+    m = sorted_projection._units([x.astype(np.float32).tobytes() for x in r.standard_normal((300, 64))], 64)
+    least = float(m[3] @ m[7])  # a pair that rounding decides
+    whole = sorted_projection._near(m, m, least)
+    assert (whole == whole.T).all()
+    for k in range(0, 300, 7):
+        assert (sorted_projection._near(m[k : k + 7], m, least) == whole[k : k + 7]).all()
+
+
 def planted_vectors(seed, n, dense):
     """Unit vectors in 64 dimensions, a share of them around one direction, and for a third of all a partner at cosine 0.901."""
     r = np.random.default_rng(seed)
