@@ -6,7 +6,7 @@ each result and read it back.  All but the last return the columns of ``document
 1. quality: the compression classifier, fitted on the labelled documents; a document
    scored below 0.7 goes.
 2. near_dedup: the chosen-path join over word shingles; of each group of near
-   duplicates the document of the smallest id stays.
+   duplicates one row stays, of the smallest id.
 3. pii: personal data, disguised or plain, is masked in the text, and ``n_chars``
    follows the text.
 4. packing: tokenised, cost-balanced sequences of at most 1024 ids.
@@ -34,11 +34,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest id. Documents without words all stay."""
-    ship(spark)
-    found = near_duplicates(docs)
-    gone = found.where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One row of each group of near duplicates. Documents without words all stay.
+
+    Rows are told apart by a number of their own: of rows that share an id, each is
+    judged by its own text, and of repeated rows one stays.  In a group the row of the
+    smallest id stays, a row with a null id only if the group has no other.
+    """
+    scratch = Scratch(ship(spark), "neardedup")
+    row = next(c for c in ("row", *(f"row{k}" for k in range(len(docs.columns)))) if c not in docs.columns)
+    # saved with its number, so that every later read sees the same one
+    numbered = scratch.save(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(numbered, id_col=row).where("n_shingles > 0").select(F.col("doc_id").alias(row), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", row)
+    grouped = found.join(numbered.select(row, "doc_id"), row).withColumn("order", order)
+    first = grouped.groupBy("component_id").agg(F.min("order").alias("first"))
+    gone = grouped.join(first, "component_id").where("order <> first").select(row)
+    return numbered.join(gone, row, "left_anti").select(docs.columns)
 
 
 def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,10 +75,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what each but the last returns is written to the shared folder and read again."""
+    """All stages over ``documents``; what each but the last returns is written to the shared folder, read again, and deleted after the next one."""
     ship(spark)
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = scratch.save(stage(spark, docs, sf_dir), name)
+        scratch.clear(docs)
     return STAGES[-1][1](spark, docs, sf_dir)
