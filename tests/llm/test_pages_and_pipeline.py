@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lodestar.llm import html_extract
+from lodestar.llm import compression_quality, html_extract
 from lodestar.llm.dom import Page, parse
 
 DATA = "/root/testdata/sf0.001"
@@ -117,3 +117,68 @@ def test_pipeline(spark):
     per_doc = pieces.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t"))
     assert per_doc.where("n <> t").count() == 0 and per_doc.count() == masked.count()
     assert public_tokenizers.path("byte_bpe_50k.json")
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, row string, node string, component_id string"
+
+
+def odd_documents(spark, seed):
+    """Repeated and null ids, null and empty texts, near copies in any place, and columns of clashing names."""
+    r = random.Random(seed)
+    words = [f"w{k}" for k in range(400)]
+    rows = [(1, None), (1, None), (None, ""), (2, " "), (None, None)]
+    for _ in range(25):
+        base = r.choices(words, k=r.choice([3, 30, 260]))
+        for _ in range(r.randint(1, 5)):
+            copy = base[:]
+            for _ in range(r.choice([0, 0, 1, 2])):
+                copy[r.randrange(len(copy))] = r.choice(words)
+            rows.append((r.choice([None, r.randrange(3, 40)]), " ".join(copy) + r.choice(["", " ", " mail me: a@b.cd"])))
+    rows += [rows[8]] * 3
+    return spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t), "row", "x", f"c{k}") for k, (i, t) in enumerate(rows)], ODD)
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_dedup_stage_against_brute_force(spark, seed):
+    docs = odd_documents(spark, seed)
+    out = corpus_pipeline.near_dedup(spark, docs, DATA)
+    assert out.schema == docs.schema
+    rows, sets = docs.collect(), []
+    part = list(range(len(rows)))
+    for r in rows:
+        sets.append(shingles(r.text))
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+            a, b = part[i], part[j]
+            part = [a if x == b else x for x in part]
+    left = out.collect()
+    assert {r.component_id for r in rows if not shingles(r.text)} <= {r.component_id for r in left}  # wordless rows all stay
+    assert len(left) == len({p for p, s in zip(part, sets) if s}) + sum(not s for s in sets)
+    group = {r.component_id: p for r, p in zip(rows, part)}
+    for r in left:
+        if shingles(r.text):
+            ids = [x.doc_id for x in rows if group[x.component_id] == group[r.component_id] and x.doc_id is not None]
+            assert r.doc_id == min(ids, default=None)
+
+
+def test_quality_and_pii_stages_on_odd_rows(spark):
+    docs = odd_documents(spark, 3)
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    out = corpus_pipeline.quality(spark, docs, DATA)
+    model = compression_quality.fit(docs, labels)
+    want = [r for r in docs.collect() if model.score(r.text) >= 0.7]
+    assert out.schema == docs.schema and sorted(map(str, out.collect())) == sorted(map(str, want))
+    masked = corpus_pipeline.mask_pii(spark, docs, DATA)
+    assert masked.schema == docs.schema
+    got, plain = ({r.component_id: r for r in x.collect()} for x in (masked, docs))
+    for key, r in got.items():
+        old = plain[key].text
+        assert r.text == (None if old is None else old.replace("a@b.cd", "[EMAIL]")) and r.n_chars == (None if old is None else len(r.text))
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, DATA).count() == 0
