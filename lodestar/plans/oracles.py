@@ -113,12 +113,12 @@ ORACLE_SQL = {
     "brand_knn_imputation": _KNN,
     "brand_representatives": f"WITH {ENTITIES} SELECT brand, row_number() OVER (PARTITION BY brand ORDER BY seq)::INT AS rank, seq, 6 AS completeness FROM E WHERE brand <> '' QUALIFY rank <= 3",
     "vector_label_imputation": """WITH V AS (SELECT vec_id AS id, list_transform(embedding, lambda x: x::DOUBLE) AS e, label FROM embeddings),
-      S AS (SELECT q.id AS query_id, c.id, c.label, list_cosine_similarity(q.e, c.e) AS score FROM V q JOIN V c ON c.id % 50 <> 0 WHERE q.id % 50 = 0),
+      S AS (SELECT q.id AS query_id, c.id, c.label, list_cosine_similarity(q.e, c.e) AS score FROM V q JOIN V c ON c.id % 5 <> 0 WHERE q.id % 5 = 0),
       T AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS r FROM S QUALIFY r <= 5),
       W AS (SELECT query_id, label, sum(score * score) AS w, min(r) AS fr FROM T GROUP BY 1, 2)
       SELECT query_id, arg_max(label, (w, -fr)) AS label, round(max(w) / sum(w), 6) AS confidence FROM W GROUP BY query_id""",
     "vector_search": """WITH V AS (SELECT vec_id AS id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
-      T AS (SELECT q.id AS query_id, c.id, list_cosine_similarity(q.e, c.e) AS score, row_number() OVER (PARTITION BY q.id ORDER BY list_cosine_similarity(q.e, c.e) DESC, c.id)::INT AS rank FROM V q, V c WHERE q.id IN (3, 77, 141) QUALIFY rank <= 10)
+      T AS (SELECT q.id AS query_id, c.id, list_cosine_similarity(q.e, c.e) AS score, row_number() OVER (PARTITION BY q.id ORDER BY list_cosine_similarity(q.e, c.e) DESC, c.id)::INT AS rank FROM V q, V c WHERE q.id % 100 = 0 QUALIFY rank <= 10)
       SELECT query_id, rank, doc_id, round(score, 4) AS score, CASE WHEN length(text) > 100 THEN left(text, 100) || '...' ELSE text END AS text FROM T JOIN documents ON doc_id = id WHERE score >= 0.25""",
     "product_dedup_merge": _merged(False),
     "product_dedup_canonical": _merged(True),
@@ -143,9 +143,9 @@ ORACLE_SQL = {
       FROM documents WHERE hits >= 2 ORDER BY hits DESC, doc_id LIMIT 25""",
     "follow_pages": "SELECT doc, page FROM (SELECT conv_id AS doc, turn AS page, max((turn % 5 = 0)::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS near FROM conversations) WHERE near = 1",
     "name_occurrences": r"""WITH B AS (SELECT item_id, trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')) AS t FROM benchmark), D AS (SELECT doc_id, ' ' || trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')) || ' ' AS t FROM documents)
-      SELECT item_id, doc_id FROM B JOIN D ON contains(D.t, ' ' || B.t || ' ') WHERE len(string_split(B.t, ' ')) >= 6""",
+      SELECT item_id, doc_id FROM B JOIN D ON contains(D.t, ' ' || B.t || ' ') WHERE B.t <> ''""",
     "bind_known_models": f"""WITH {ENTITIES}, K AS (SELECT DISTINCT category, array_to_string(string_split(product_model, '-')[1:2], '-') AS m FROM E WHERE seq % 3 = 0 UNION SELECT DISTINCT category, product_model FROM E WHERE seq % 5 = 0),
-      P AS (SELECT * FROM E WHERE seq % 2 = 1), X AS (SELECT p.seq, k.m FROM P p JOIN K k ON k.category = p.category AND k.m = p.product_model),
+      P AS (SELECT * FROM E), X AS (SELECT p.seq, k.m FROM P p JOIN K k ON k.category = p.category AND k.m = p.product_model),
       C AS (SELECT p.seq, k.m, row_number() OVER (PARTITION BY p.seq ORDER BY length(k.m) DESC, k.m) AS r FROM P p JOIN K k ON k.category = p.category AND contains(p.product_model, k.m) WHERE p.seq NOT IN (SELECT seq FROM X))
       SELECT seq, m AS known_model FROM X UNION ALL SELECT seq, m FROM C WHERE r <= 12""",
     "model_conflicts": """WITH P AS (SELECT l_partkey, l_suppkey, count(DISTINCT l_orderkey) AS local_pages, count(*) AS evidence_count, max(l_linenumber) AS series_hits FROM lineitem GROUP BY 1, 2),
@@ -162,7 +162,7 @@ ORACLE_SQL = {
     "graph_edges": f"""WITH {_RECORDS} SELECT src, rel, dst FROM (SELECT DISTINCT product_id AS src, 'BRANDED_BY' AS rel, brand AS dst FROM RC UNION SELECT product_id, 'MANUFACTURED_BY', manufacturer FROM RC
       UNION SELECT product_id, 'IN_CATEGORY', category FROM RC UNION SELECT product_id, 'IN_SERIES', series FROM RC) WHERE dst <> ''""",
     "batch_envelope": """SELECT o_orderkey AS batch, count(l_partkey)::INT AS n, coalesce(string_agg(l_partkey || ':' || l_quantity::INT, ';' ORDER BY l_linenumber, l_partkey, l_quantity), '') AS results
-      FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_linenumber <= 3 WHERE o_orderkey % 10 = 0 GROUP BY 1""",
+      FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1""",
     "crawl_url_dedup": """WITH P AS (SELECT page_id AS seq, split_part(url, '?', 1) AS url FROM pages)
       SELECT min(seq) AS seq, url FROM P WHERE url NOT IN (SELECT url FROM P WHERE seq % 7 = 0) GROUP BY url""",
     "crawl_listing": "WITH P AS (SELECT page_id, url FROM pages WHERE contains(url, 'example.com')) SELECT page_id, url, (SELECT count(*) FROM P) AS total FROM P ORDER BY url DESC, page_id LIMIT 30 OFFSET 20",
@@ -187,8 +187,9 @@ ORACLE_SQL = {
     "spec_parse": f"""WITH {ENTITIES}, X AS (SELECT seq, string_split(product_model, '-')[-1] AS n FROM E)
       SELECT seq, CASE seq % 3 WHEN 0 THEN 'size' WHEN 1 THEN 'Power' ELSE 'weight' END AS name, CASE seq % 3 WHEN 1 THEN n || '.5' ELSE n END AS value, CASE seq % 3 WHEN 0 THEN 'mm' WHEN 1 THEN 'kW' ELSE 'kg' END AS unit,
         CASE seq % 3 WHEN 0 THEN 'size: ' || n || 'mm' WHEN 1 THEN 'Power (kW) = ' || n || '.5' ELSE 'weight ' || n || ' kg' END AS raw FROM X""",
-    "connected_parts": """WITH C AS (SELECT DISTINCT c_custkey AS k FROM customer WHERE c_custkey % 9 <> 0 AND c_custkey > 0 UNION SELECT DISTINCT c_custkey - 1 FROM customer WHERE c_custkey % 9 <> 0 AND c_custkey > 0)
-      SELECT k AS node, (k // 9 * 9) AS component FROM C""",
+    "connected_parts": """WITH C AS (SELECT c_custkey AS k FROM customer UNION SELECT c_custkey - 1 FROM customer),
+      I AS (SELECT k, k - row_number() OVER (ORDER BY k) AS island FROM C)
+      SELECT k AS node, min(k) OVER (PARTITION BY island) AS component FROM I""",
     "page_order": """SELECT label, 'd' || conv_id AS doc, row_number() OVER (PARTITION BY conv_id ORDER BY spot, label)::INT AS rank FROM (
       SELECT conv_id, CASE WHEN turn % 2 = 0 THEN 'part_10_20_d' || conv_id || '_page_' || turn ELSE 'd' || conv_id || '_page_' || turn END AS label, CASE WHEN turn % 2 = 0 THEN 10 + turn ELSE turn END AS spot FROM conversations)""",
     "prompt_batches": """WITH RECURSIVE R AS (SELECT conv_id AS doc, turn AS page, length(coalesce(text, '')) AS n, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lodestar.functions.specs import guard_units, parse_line
 from lodestar.functions.text import brand_core, category_of, completeness, edit_similarity, pair_key, product_id
 from lodestar.operators import clusters, fusion, imputation, knowledge, matching, merge, quality, retrieval, reviews, windows
-from lodestar.operators.components import connected_components
+from lodestar.operators.components import CHUNK, connected_components
 from lodestar.plans.views import entities
 from lodestar.provider import RuleProvider
 from lodestar.sources import markdown, web
@@ -68,8 +68,8 @@ def _vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 def vector_label_imputation(spark: SparkSession, sf: str) -> DataFrame:
     v = _vectors(spark, sf)
-    asked = v.where("id % 50 = 0").select(F.col("id").alias("query_id"), "vector")
-    near = retrieval.nearest(asked, v.where("id % 50 <> 0").select("id", "vector"), 5).join(v.select("id", "label"), "id")
+    asked = v.where("id % 5 = 0").select(F.col("id").alias("query_id"), "vector")
+    near = retrieval.nearest(asked, v.where("id % 5 <> 0").select("id", "vector"), 5).join(v.select("id", "label"), "id")
     return imputation.weighted_vote(near, "query_id", "label").select("query_id", F.col("inferred").alias("label"), F.round("confidence", 6).alias("confidence"))
 
 
@@ -254,10 +254,9 @@ def spec_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def connected_parts(spark: SparkSession, sf: str) -> DataFrame:
-    """Components of customers and the orders of one clerk-like bucket; exercises the contraction on chains."""
-    c = table(spark, sf, "customer").select("c_custkey")
-    chain = c.where("c_custkey % 9 <> 0").select(F.col("c_custkey").alias("src"), (F.col("c_custkey") - 1).alias("dst"))
-    return connected_components(chain.where("dst >= 0"))
+    """Components of customers, each linked with the one before: long chains, the worst case of contraction."""
+    chain = table(spark, sf, "customer").select(F.col("c_custkey").alias("src"), (F.col("c_custkey") - 1).alias("dst"))
+    return connected_components(chain, chunk=CHUNK)
 
 
 def text_chunks(spark: SparkSession, sf: str) -> DataFrame:
