@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,20 +26,58 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.nullif(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(0.0))
 
 
-def nearest(queries: DataFrame, index: DataFrame, k: int, query_blocks: int = 16) -> DataFrame:
+def _units(vectors) -> np.ndarray:
+    """Directions of vectors of one length, in doubles."""
+    m = np.stack([np.asarray(v, np.float64) for v in vectors])
+    return m / np.sqrt((m * m).sum(axis=1, keepdims=True))
+
+
+def _best_of_blocks(k: int):
+    """A pandas group of one block of each side: side (0 index, 1 queries), id, vector. The k best of the block for each query."""
+
+    def run(rows):
+        side, ids = rows["side"].to_numpy(), rows["id"].to_numpy()
+        out = {"query_id": [], "id": [], "score": []}
+        if 0 < side.sum() < len(side):
+            held, names = _units(rows["vector"][side == 0]), ids[side == 0]
+            asked, queries = _units(rows["vector"][side == 1]), ids[side == 1]
+            for at in range(0, len(asked), 256):
+                near = asked[at : at + 256] @ held.T
+                least = -np.partition(-near, min(k, near.shape[1]) - 1, axis=1)[:, min(k, near.shape[1]) - 1]
+                for i, (row, low) in enumerate(zip(near, least, strict=True)):
+                    # a product's last bits depend on the place in the block: candidates are scored again, pair by pair, so that copies tie
+                    some = np.flatnonzero(row >= low - 1e-9)
+                    scores = (held[some] * asked[at + i]).sum(axis=1)
+                    first = np.lexsort((names[some], -scores))[:k]
+                    out["query_id"] += [queries[at + i]] * len(first)
+                    out["id"] += names[some][first].tolist()
+                    out["score"] += scores[first].tolist()
+        return type(rows)({"query_id": np.array(out["query_id"], np.int64), "id": np.array(out["id"], np.int64), "score": np.array(out["score"], np.float64)})
+
+    return run
+
+
+def nearest(queries: DataFrame, index: DataFrame, k: int, block: int = 8192, query_block: int = 2048) -> DataFrame:
     """(query_id, id, score, rank): exact top k by cosine, ties by id.
 
-    ``queries`` has (query_id, vector), ``index`` (id, vector). Each index row meets the
-    queries in blocks, keeps no pair that a partition's own best k rule out, and only
-    those are shuffled (a group limit before the exchange).
+    ``queries`` has (query_id, vector), ``index`` (id, vector), ids are whole numbers.
+    Both sides are dealt into blocks of a bounded number of rows by their counts; each
+    two blocks meet in one task, as a product of matrices, and hand on k rows a query.
+    Vectors that are null, empty, zero or hold null or non-finite components take no
+    part; vectors of different lengths don't meet.
     """
-    unit = lambda v: F.transform(v, lambda x: x.cast("double") / F.nullif(F.sqrt(dot(v, v)), F.lit(0.0)))
-    asked = queries.select("query_id", unit(F.col("vector")).alias("q"), F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).alias("block"))
-    blocks = asked.groupBy("block").agg(F.collect_list(F.struct("query_id", "q")).alias("queries"))
-    pairs = index.select("id", unit(F.col("vector")).alias("v")).crossJoin(blocks.select("queries")).select("id", "v", F.explode("queries").alias("x"))
-    scored = pairs.select("x.query_id", "id", dot(F.col("x.q"), F.col("v")).alias("score"))
+    usable = F.col("vector").isNotNull() & F.forall("vector", lambda x: F.coalesce(~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) != float("inf")), F.lit(False))) & F.exists("vector", lambda x: x != 0)
+    asked = queries.where(usable).select(F.col("query_id").cast("long").alias("id"), "vector", F.size("vector").alias("dim"))
+    held = index.where(usable).select(F.col("id").cast("long").alias("id"), "vector", F.size("vector").alias("dim"))
+    sizes = asked.agg(F.count("*")).first()[0], held.agg(F.count("*")).first()[0]
+    n_queries, n_rows = max(1, -(-sizes[0] // query_block)), max(1, -(-sizes[1] // block))
+    deal = lambda n: F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = held.withColumn("r", deal(n_rows)).select("dim", "r", every(n_queries).alias("q"), F.lit(0).alias("side"), "id", "vector")
+    right = asked.withColumn("q", deal(n_queries)).select("dim", every(n_rows).alias("r"), "q", F.lit(1).alias("side"), "id", "vector")
+    found = left.unionByName(right).groupBy("dim", "r", "q").applyInPandas(_best_of_blocks(k), "query_id long, id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
 def search(hits: DataFrame, documents: DataFrame, threshold: float = 0.0, length: int = 500) -> DataFrame:
