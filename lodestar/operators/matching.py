@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.text import brand_key, model_name
+from lodestar.operators.sieve import maybe_among
 
 
 def bind_to_known_models(products: DataFrame, known: DataFrame, scope: list[str], cap: int = 12, gram: int = 4) -> DataFrame:
@@ -45,20 +46,24 @@ def occurrences(names: DataFrame, pages: DataFrame, name: str, page: str, text:
 def occurrence_pairs_of_texts(items: DataFrame, docs: DataFrame, item: str, doc: str, text: str, words: int = 6) -> DataFrame:
     """(item, doc) where an item's whole text, word by word and without case, is inside a document.
 
-    They meet over the item's first few words, or all of them if it has fewer; a document
-    emits one fragment of each such length for each of its words, as a hash, and only
-    those that an item begins with survive the join. Items without words are in none.
+    They meet over the item's first few words, or all of them if it has fewer.  Every
+    place of a document has a hash of so many words; a bitmap of fixed size over the
+    items' hashes lets through the few places that may begin an item, and only those
+    are joined, with the words that follow. Items without words are in none.
     """
     clean = lambda c: F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(c), F.lit(""))), r"[^\p{L}\p{N}]+", " ")), " ")
+    hashed = lambda w: F.transform(w, lambda x: F.xxhash64(x))
+    piece = lambda h, at, n: F.xxhash64(*(F.get(h, at + k) for k in range(n)))
     left = items.select(F.col(item), clean(text).alias("w")).withColumn("n", F.least(F.size("w"), F.lit(words))).where("w[0] <> ''")
     lengths = sorted(r.n for r in left.select("n").distinct().collect())  # as many as words at most
-    left = left.select(item, F.array_join("w", " ").alias("phrase"), F.xxhash64(F.array_join(F.slice("w", F.lit(1), F.col("n")), " ")).alias("_piece"))
-    right = docs.select(F.col(doc), clean(text).alias("w")).where(F.size("w") >= min(lengths, default=words))
-    of = lambda n: F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: F.xxhash64(F.array_join(F.slice(F.col("w"), i, n), " ")))).otherwise(F.array().cast("array<bigint>"))
-    fragments = F.flatten(F.array(*(of(n) for n in lengths or [words])))
-    hits = right.select(doc, F.explode(F.array_distinct(fragments)).alias("_piece")).join(left.select("_piece", item, "phrase"), "_piece").select(doc, item, "phrase")
-    bodies = right.select(doc, F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" ")).alias("body"))
-    return hits.join(bodies, doc).where(F.contains("body", F.concat(F.lit(" "), F.col("phrase"), F.lit(" ")))).select(item, doc).distinct()
+    left = left.withColumn("h", hashed("w"))
+    start = F.coalesce(*(F.when(F.col("n") == n, piece(F.col("h"), F.lit(0), n)) for n in lengths or [words]))
+    left = left.select(item, "n", F.size("w").alias("_size"), F.array_join("w", " ").alias("phrase"), start.alias("_piece"))
+    right = docs.select(F.col(doc), clean(text).alias("w")).withColumn("h", hashed("w"))
+    of = lambda n: F.when(F.size("h") >= n, F.transform(F.sequence(F.lit(0), F.size("h") - n), lambda i: F.struct(piece(F.col("h"), i, n).alias("_piece"), i.alias("at"), F.lit(n).alias("n")))).otherwise(F.array())
+    places = right.select(doc, "w", F.explode(F.flatten(F.array(*(of(n) for n in lengths or [words])))).alias("p")).select(doc, "w", "p._piece", "p.at", "p.n")
+    hits = maybe_among(places, "_piece", left).join(left, ["_piece", "n"])
+    return hits.where(F.array_join(F.slice("w", F.col("at") + 1, F.col("_size")), " ") == F.col("phrase")).select(item, doc).distinct()
 
 
 def new_urls(rows: DataFrame, stored: DataFrame, seq: str = "seq") -> DataFrame:
