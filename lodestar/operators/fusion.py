@@ -41,16 +41,37 @@ def worth_comparing(low_freq: int = 3, frequent: int = 20, shared: int = 2, rati
     )
 
 
-def brand_pairs(brands: DataFrame) -> DataFrame:
+def _in_blocks(rows: DataFrame, blocks: int) -> DataFrame:
+    """Rows with the block that they are in and, once for each, every block that it meets as (i, j), the smaller first."""
+    own = rows.withColumn("own", F.pmod(F.xxhash64("idx"), F.lit(blocks)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return own.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+
+
+def brand_pairs(brands: DataFrame, low_freq: int = 3, frequent: int = 20, block: int = 1024) -> DataFrame:
     """Pairs (a before b in rank) worth comparing.
 
-    Every rule that accepts a pair needs a shared letter, so brands meet in blocks by
-    letter and nothing else is compared.
+    A rare brand is only ever compared with a frequent one, so brands above the low
+    frequency meet each other, and the others, which are most of a long list, meet the
+    frequent ones. Both are dealt into blocks by their counts, and each pair meets once.
     """
-    letters = brands.select("idx", F.explode(F.array_distinct(F.filter(F.split("core", ""), lambda c: c != ""))).alias("letter"))
-    met = letters.alias("x").join(letters.alias("y"), (F.col("x.letter") == F.col("y.letter")) & (F.col("x.idx") < F.col("y.idx"))).select(F.col("x.idx").alias("i"), F.col("y.idx").alias("j")).distinct()
-    pairs = met.join(brands.alias("a"), F.col("i") == F.col("a.idx")).join(brands.alias("b"), F.col("j") == F.col("b.idx")).where(worth_comparing())
-    return pairs.select("i", "j", F.col("a.brand").alias("brand1"), F.col("b.brand").alias("brand2"), F.col("a.freq").alias("freq1"), F.col("b.freq").alias("freq2"), F.col("a.core").alias("core1"), F.col("b.core").alias("core2"))
+    common = brands.where(F.col("freq") > low_freq)
+    heads = brands.where(F.col("freq") >= frequent)
+    n_common, n_heads = brands.agg(F.count_if(F.col("freq") > low_freq), F.count_if(F.col("freq") >= frequent)).first()
+    blocks = max(1, -(-n_common // block))
+    spread = _in_blocks(common, blocks)
+    same = (F.col("a.i") == F.col("b.i")) & (F.col("a.j") == F.col("b.j")) & (F.col("a.own") == F.col("a.i")) & (F.col("b.own") == F.col("b.j"))
+    both = spread.alias("a").join(spread.alias("b"), same & ((F.col("a.i") < F.col("a.j")) | (F.col("a.idx") < F.col("b.idx"))))
+    parts = max(1, -(-n_heads // block))
+    rare = brands.where(F.col("freq") <= low_freq).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    dealt = heads.withColumn("part", F.pmod(F.xxhash64("idx"), F.lit(parts)).cast("int"))
+    mixed = dealt.alias("a").join(rare.alias("b"), F.col("a.part") == F.col("b.part"))
+    fields = ["idx", "brand", "freq", "core"]
+    pair = [F.struct(*(F.col(f"{side}.{c}") for c in fields)).alias(side) for side in "ab"]
+    found = both.select(*pair).unionByName(mixed.select(*pair))
+    turned = F.col("a.idx") > F.col("b.idx")
+    found = found.select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"))
+    found = found.where(worth_comparing(low_freq, frequent))
+    return found.select(F.col("a.idx").alias("i"), F.col("b.idx").alias("j"), *(F.col(f"{side}.{c}").alias(f"{c}{n}") for c in ("brand", "freq", "core") for n, side in ((1, "a"), (2, "b"))))
 
 
 def judge_by_rules(pairs: DataFrame) -> DataFrame:
