@@ -92,19 +92,29 @@ def normal_field(c: Name) -> Column:
     return F.lower(trimmed(c))
 
 
-def normal_similarity(left: str, right: str, weights: dict[str, float]) -> Column:
-    """:func:`entity_similarity` of fields that :func:`normal_field` has prepared, so that no pair prepares them again."""
+def _weighted(left: str, right: str, weights: dict[str, float], apart) -> Column:
+    """Weighted mean over the prepared fields that both sides have, of 1 - apart / longer length; 0 where one has no model."""
     score, used = F.lit(0.0), F.lit(0.0)
     for name, weight in weights.items():
         a, b = col(f"{left}{name}"), col(f"{right}{name}")
         both = (a != "") & (b != "")
-        alike = F.when(a == b, F.lit(1.0)).otherwise(F.lit(1.0) - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1)).cast("double"))
+        alike = F.when(a == b, F.lit(1.0)).otherwise(F.lit(1.0) - apart(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1)).cast("double"))
         score += F.when(both, F.lit(weight) * alike).otherwise(0.0)
         used += F.when(both, F.lit(weight)).otherwise(0.0)
     models = (col(f"{left}product_model") != "") & (col(f"{right}product_model") != "")
     return F.when(models, score / used).otherwise(0.0)
 
 
+def normal_similarity(left: str, right: str, weights: dict[str, float]) -> Column:
+    """:func:`entity_similarity` of fields that :func:`normal_field` has prepared, so that no pair prepares them again."""
+    return _weighted(left, right, weights, F.levenshtein)
+
+
+def normal_bound(left: str, right: str, weights: dict[str, float]) -> Column:
+    """At least :func:`normal_similarity`: an edit distance is no less than the difference of the lengths."""
+    return _weighted(left, right, weights, lambda a, b: F.abs(F.length(a) - F.length(b)))
+
+
 def brand_core(c: Name) -> Column:
     """Lower case without the organisation words, one after the other, and without anything but word characters."""
     text = F.lower(trimmed(c))
