@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.text import overflow_error
@@ -26,8 +26,9 @@ def split_factor(targets: dict[str, int]) -> Column:
 def overflow_report(calls: DataFrame, targets: dict[str, int]) -> DataFrame:
     """One row for each schema: calls, hosts, largest, p95 and mean of each kind of token, the largest split factor.
 
-    Values are counted before their ranks are taken, so a schema with most of the
-    calls gathers as many rows as it has different values.
+    The 95th percentile is the value at its rounded rank; values are counted first, and
+    found through their counts by buckets, so no schema's values are gathered.  The
+    report lists the hosts of a schema, so these have to fit a row.
     """
     rows = calls.withColumns({"schema": F.coalesce(F.nullif(F.trim("schema"), F.lit("")), F.lit("unknown_schema")), "split_factor": split_factor(targets)})
     out = rows.groupBy("schema").agg(
@@ -42,14 +43,22 @@ def overflow_report(calls: DataFrame, targets: dict[str, int]) -> DataFrame:
     return out
 
 
-def _ranked(rows: DataFrame, c: str, share: float) -> DataFrame:
-    """(schema, <c>_p95) from the counts of the distinct values."""
+def _ranked(rows: DataFrame, c: str, share: float, width: int = 1024) -> DataFrame:
+    """(schema, <c>_p95) from the counts of the distinct values.
+
+    Counts of ranges of ``width`` values say in which range the rank is, and only that
+    range's values are counted on.  Ranges are ranked per schema, over running sums.
+    """
     counts = rows.where(F.col(c).isNotNull()).groupBy("schema", F.col(c).cast("long").alias("v")).agg(F.count("*").alias("n"))
-    listed = counts.groupBy("schema").agg(F.array_sort(F.collect_list(F.struct("v", "n"))).alias("h"), F.sum("n").alias("total"))
+    counts = counts.withColumn("range", F.floor(F.col("v") / width))
+    upto = Window.partitionBy("schema").orderBy("range")
+    ranges = counts.groupBy("schema", "range").agg(F.sum("n").alias("n")).withColumn("seen", F.sum("n").over(upto))
+    totals = ranges.groupBy("schema").agg(F.sum("n").alias("total"))
     rank = F.bround((F.col("total") - 1) * F.lit(share)).cast("long")
-    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("long").alias("found"))
-    step = lambda s, x: F.struct((s["seen"] + x["n"]).alias("seen"), F.when(s["found"].isNull() & (s["seen"] + x["n"] > rank), x["v"]).otherwise(s["found"]).alias("found"))
-    return listed.select("schema", F.aggregate("h", start, step, lambda s: s["found"]).alias(f"{c}_p95"))
+    hit = ranges.join(totals, "schema").withColumn("rank", rank).where((F.col("seen") > F.col("rank")) & (F.col("seen") - F.col("n") <= F.col("rank")))
+    inside = counts.join(hit.select("schema", "range", (F.col("rank") - F.col("seen") + F.col("n")).alias("rank")), ["schema", "range"])
+    inside = inside.withColumn("seen", F.sum("n").over(Window.partitionBy("schema").orderBy("v"))).where(F.col("seen") > F.col("rank"))
+    return inside.groupBy("schema").agg(F.min("v").alias(f"{c}_p95"))
 
 
 def overflow_calls(log: DataFrame) -> DataFrame:
@@ -75,8 +84,6 @@ def batch_summary(tasks: DataFrame) -> DataFrame:
 
 def keep_frequent_pages(brands: DataFrame, ratio: float = 0.15, fallback: int = 3, cap: int = 12) -> DataFrame:
     """Brands on at least max(1, floor(ratio * most pages)) pages and plausible; the top few if none is; at most ``cap``."""
-    from pyspark.sql import Window
-
     from lodestar.functions.text import plausible_brand
 
     order = Window.partitionBy("doc").orderBy(F.desc(F.size("pages")), "seq")

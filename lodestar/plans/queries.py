@@ -111,7 +111,7 @@ def category_correction(spark: SparkSession, sf: str) -> DataFrame:
     context = merge.main_values(main, ["doc"], "category").join(merge.main_values(main, ["doc"], "series"), "doc")
     by_word = lambda c: category_of(c, ["bolt", "BOLT", "small"], ["ring", "RING", "large"], ("indoor", "outdoor"))
     fixed = F.coalesce(by_word("product_model"), by_word("series"), F.when(F.col("series") == F.col("main_series"), F.col("main_category")), F.col("category"))
-    return main.join(F.broadcast(context), "doc").select("seq", fixed.alias("category"), "main_category", "main_series")
+    return main.join(context, "doc").select("seq", fixed.alias("category"), "main_category", "main_series")
 
 
 def frequent_models(spark: SparkSession, sf: str) -> DataFrame:
