@@ -20,7 +20,8 @@ BLOCKS = T.StructType([T.StructField(n, T.StringType()) for n in BLOCK_COLUMNS])
 def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
     """Products of files that are arrays of ``{"results": [...]}``, with _file, _batch and result_index.
 
-    Lists of records, single envelopes, single records and JSON Lines are read as well.
+    Lists of records, single envelopes, single records and JSON Lines are read as well;
+    a file that is none of these, or has a broken line, fails the job that reads it.
     """
     whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("_file"), F.col("value").alias("doc"))
     return unnest_records(whole.withColumn("doc", _as_array(F.col("doc"))))
@@ -32,7 +33,10 @@ def _as_array(doc):
     parts = F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")
     lines = F.concat(F.lit("["), F.array_join(parts, ","), F.lit("]"))
     by_line = F.forall(parts, lambda x: F.try_parse_json(x).isNotNull())
-    return F.when(text.startswith("["), text).when(by_line, lines).otherwise(F.concat(F.lit("["), text, F.lit("]")))
+    single = F.concat(F.lit("["), text, F.lit("]"))
+    found = F.when(text.startswith("["), text).when(by_line, lines).otherwise(single)
+    broken = F.raise_error(F.concat(F.lit("not JSON: "), F.substring(text, 1, 80)))
+    return F.when(F.try_parse_json(found).isNull(), broken).otherwise(found)
 
 
 def unnest_records(docs: DataFrame) -> DataFrame:

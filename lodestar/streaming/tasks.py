@@ -29,8 +29,8 @@ def next_status(current: str, event: str):
 
 
 def latest(rows: DataFrame, key: str, at: str) -> DataFrame:
-    """The last row of each key."""
-    order = Window.partitionBy(key).orderBy(F.desc(at))
+    """The last row of each key; of rows of one time the one whose other fields, in the order of the columns, are largest."""
+    order = Window.partitionBy(key).orderBy(F.desc(at), *(F.desc(c) for c in rows.columns if c not in (key, at)))
     return rows.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
 
 
@@ -61,12 +61,12 @@ def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
 
 
 def keep_new(path: str, key: str) -> Callable[[DataFrame, int], None]:
-    """A batch handler that appends rows whose key the table at ``path`` lacks, the first of each key."""
+    """A batch handler that appends rows whose key the table at ``path`` lacks, one of each key: the smallest, field by field."""
 
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         target = f"{path}/batch={number}"
-        rows = batch.dropDuplicates([key])
+        rows = batch.groupBy(key).agg(F.min(F.struct(*batch.columns)).alias("_first")).select("_first.*")
         jvm = spark._jvm
         folder = jvm.org.apache.hadoop.fs.Path(path)
         if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
