@@ -37,12 +37,12 @@ from pyspark.sql import functions as F
 from lodestar.llm.names import content_name, rename, settle_names
 from lodestar.llm.shingles import minwise, overlap, pack, shingle_set, signature_seeds, unpack
 from lodestar.operators.components import connected_components
+from lodestar.operators.sieve import maybe_among
 from lodestar.storage import Scratch
 
 #: Coordinates that trees branch on; the signature of a long set has more of them, which only comparisons use.
 SIGNATURE = 64
 LONG_SIGNATURE = 256
-_BITMAP_WORDS = 1 << 17
 
 
 #: Shingles up to which a set travels with its signature.
@@ -326,20 +326,6 @@ def _decide(percent: int):
 _PAIRS = "a long, b long, linked boolean"
 
 
-def _maybe_among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows whose key is one of the wanted ones, and some few others; nothing is shuffled but a bitmap.
-
-    The bitmap has a fixed size (2**17 words of 64 bits), so it may be broadcast
-    whatever the number of wanted keys; with very many of them it only lets more pass.
-    """
-    slot = F.pmod(F.xxhash64(key), F.lit(_BITMAP_WORDS * 64))
-    word, bit = F.shiftright(slot, 6), F.pmod(slot, F.lit(64)).cast("int")
-    marks = wanted.select(word.alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("_mark"))
-    bitmap = marks.groupBy("_word").agg(F.bit_or("_mark").alias("_bits"))
-    marked = rows.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(bitmap), "_word")
-    return marked.where(F.getbit("_bits", F.col("_bit")) == 1).select(rows.columns)
-
-
 class ChosenPathJoin:
     """One run of the join over one table; see :func:`near_duplicates`."""
 
@@ -382,7 +368,7 @@ class ChosenPathJoin:
         wanted = level.select("node").distinct()
         one = self.rows.select("node", "doc_id", "n_shingles", "sig", "short").join(wanted, "node", "left_semi").dropDuplicates(["node"])
         self.classes = self.scratch.save(one, "classes")
-        texts = _maybe_among(self.docs, "doc_id", self.classes.where("short IS NULL").select("doc_id"))
+        texts = maybe_among(self.docs, "doc_id", self.classes.where("short IS NULL").select("doc_id"))
         full = texts.select("text").mapInArrow(_full_sets(self.width, self.name_bits), "node long, check long, n_shingles long, packed binary")
         for renamed in self.renamings:
             full = rename(full, renamed)
@@ -397,7 +383,7 @@ class ChosenPathJoin:
         fresh = self.scratch.save(fresh, "fresh")
         short = self.classes.where("short IS NOT NULL").select("node", "n_shingles", F.col("short").alias("packed"))
         wanted = fresh.select(F.explode(F.array("a", "b")).alias("node"))
-        sets = _maybe_among(short.unionByName(self.sets), "node", wanted)
+        sets = maybe_among(short.unionByName(self.sets), "node", wanted)
         left = sets.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("packed").alias("pa"))
         right = sets.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("packed").alias("pb"))
         joined = fresh.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "pa", "pb")
