@@ -267,3 +267,87 @@ def connection_error(c: Name) -> Column:
 def overflow_error(*parts: Name) -> Column:
     """A call that failed for the size of its input."""
     return F.lower(F.concat_ws(" | ", *(col(p) for p in parts))).rlike("context_length_exceeded|maximum context length|length limit|too many tokens|max_tokens|lengthfinishreason")
+
+
+#: The fields of an entity in the order in which texts show them, and what stands for an entity or a comparison without any.
+SHOWN_FIELDS = ["brand", "product_model", "category", "series", "manufacturer"]
+ENTITY_TEXT_FIELDS = ["brand", "product_model", "manufacturer", "series", "category"]
+NO_DETAILS, NO_SIMILARITY, NOTE = "无详细信息", "无相似度数据", "缺失"
+
+
+def entity_text(fields: list[str] | None = None) -> Column:
+    """The filled fields of an entity, trimmed, with a bar between each two."""
+    return F.concat_ws(" | ", *(F.nullif(trimmed(c), F.lit("")) for c in fields or ENTITY_TEXT_FIELDS))
+
+
+def format_entity(fields: list[str] | None = None, lists: list[str] | None = None, most: int = 5) -> Column:
+    """An entity as lines of its filled fields; of a list the first few entries, and how many there are."""
+    lines = [F.when(~blank(c), F.concat(F.lit(f"- {c}: "), col(c).cast("string"))) for c in (SHOWN_FIELDS if fields is None else fields)]
+    for c in lists or []:
+        n = F.size(col(c))
+        rest = F.when(n > most, F.concat(F.lit(" ... (共"), n.cast("string"), F.lit("项)"))).otherwise("")
+        lines.append(F.when(n > 0, F.concat(F.lit(f"- {c}: "), F.array_join(F.slice(col(c), 1, most), ", "), rest)))
+    return F.coalesce(F.nullif(F.concat_ws("\n", *lines), F.lit("")), F.lit(NO_DETAILS))
+
+
+def similarity_details(left: str, right: str, weights: dict[str, float] | None = None) -> Column:
+    """For each field of two entities its weight and similarity, which is null, with a note, where one lacks the field."""
+    def one(name: str, weight: float) -> Column:
+        a, b = col(f"{left}{name}"), col(f"{right}{name}")
+        both = ~blank_trimmed(a) & ~blank_trimmed(b)
+        return F.struct(F.lit(name).alias("field"), F.lit(weight).alias("weight"), F.when(both, edit_similarity(a, b)).alias("similarity"), F.when(~both, F.lit(NOTE)).alias("note"))
+
+    return F.array(*(one(n, w) for n, w in (weights or ENTITY_WEIGHTS).items()))
+
+
+def format_similarity(details: Name) -> Column:
+    """:func:`similarity_details` as lines."""
+    line = lambda d: F.concat(F.lit("- "), d["field"], F.lit(": "), F.coalesce(F.format_string("%.3f", d["similarity"]), d["note"], F.lit(NOTE)))
+    shown = F.transform(col(details), lambda d: F.when(d["similarity"].isNull(), F.concat(F.lit("- "), d["field"], F.lit(": "), F.coalesce(d["note"], F.lit(NOTE)))).otherwise(line(d)))
+    return F.coalesce(F.nullif(F.array_join(shown, "\n"), F.lit("")), F.lit(NO_SIMILARITY))
+
+
+def series_hits(name: Name, evidence: Name) -> Column:
+    """In how many pieces of evidence a series is named, by its key, if that has two characters."""
+    return let(series_key(name), lambda key: F.when(F.length(key) < 2, 0).otherwise(F.size(F.filter(as_list(evidence), lambda e: F.contains(series_key(e), key)))))
+
+
+def about_series(c: Name) -> Column:
+    """A text that speaks of a series and not of a model."""
+    text = F.coalesce(col(c), F.lit(""))
+    return F.contains(text, F.lit("系列")) | F.contains(F.lower(text), F.lit("series"))
+
+
+def compact_properties(c: Name) -> Column:
+    """A map of JSON values without those that are null, an empty list or an empty object; empty texts and zeros stay."""
+    return F.map_filter(col(c), lambda _, v: v.isNotNull() & ~F.regexp_replace(v, r"\s", "").isin("null", "[]", "{}"))
+
+
+def iso_time(c: Name) -> Column:
+    return F.date_format(col(c), "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def whole_seconds(start: Name, end: Name) -> Column:
+    """Seconds between two times, without fractions."""
+    return F.floor(col(end).cast("timestamp").cast("double") - col(start).cast("timestamp").cast("double")).cast("long")
+
+
+def error_facts(c: Name, longest: int = 4) -> Column:
+    """From an error's text (a chain with ``caused by``): its kind, code, host and root, of a chain of at most ``longest``."""
+    chain = F.slice(F.transform(F.split(F.coalesce(col(c), F.lit("")), r"(?i)\s*caused by:?\s*"), lambda x: F.trim(x)), 1, longest)
+    kind = lambda x: F.nullif(F.regexp_extract(x, r"^([A-Za-z_][\w.]*(?:Error|Exception|Timeout))\b", 1), F.lit(""))
+    return F.struct(
+        kind(F.get(chain, F.lit(0))).alias("error_type"),
+        F.nullif(F.regexp_extract(col(c), r"(?i)(?:error[ _]code|status(?:[ _]code)?|code)\W{1,4}([A-Za-z0-9_]+)", 1), F.lit("")).alias("error_code"),
+        F.nullif(F.regexp_extract(col(c), r"https?://([^/\s:?#'\"]+)", 1), F.lit("")).alias("request_host"),
+        kind(F.element_at(chain, -1)).alias("root_error_type"),
+        F.element_at(chain, -1).alias("root_error"),
+        F.size(chain).alias("chain_length"),
+    )
+
+
+def click_strategy(href: Name, selector: Name) -> Column:
+    """The first strategy that can handle an element: follow a usable link, open a card, or click."""
+    target, where = F.trim(F.coalesce(col(href), F.lit(""))), F.coalesce(col(selector), F.lit(""))
+    usable = (target != "") & ~target.startswith("#") & ~F.lower(target).startswith("javascript:")
+    return F.when(usable, "direct_link").when(F.contains(where, F.lit("article-card")) | F.contains(where, F.lit("container")), "card").otherwise("click")

@@ -114,3 +114,24 @@ def upsert_missing(index: DataFrame, entries: DataFrame) -> DataFrame:
 
 def delete_ids(index: DataFrame, ids: DataFrame) -> DataFrame:
     return index.join(ids.select("id"), "id", "left_anti")
+
+
+def clear(index: DataFrame) -> DataFrame:
+    """An index of the same columns without rows."""
+    return index.limit(0)
+
+
+def distance_score(distance: Column, metric: str = "cosine") -> Column:
+    """The score of a distance: 1 - d for cosine, 1 / (1 + d) for others."""
+    return 1 - distance if metric == "cosine" else 1 / (1 + distance)
+
+
+def latest_crawls(crawls: DataFrame, original_url: str, limit: int = 10) -> DataFrame:
+    """The last crawls that started from an address, the newest first."""
+    return crawls.where(F.col("original_url") == original_url).orderBy(F.desc("crawled_at"), F.desc("id")).limit(limit)
+
+
+def task_list(tasks: DataFrame, kind: str | None = None, limit: int = 50) -> DataFrame:
+    """Tasks, of one type if it is named, the newest first."""
+    rows = tasks if kind is None else tasks.where(F.col("type") == kind)
+    return rows.orderBy(F.desc("created_at"), F.desc("task_id")).limit(limit)

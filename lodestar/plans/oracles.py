@@ -219,4 +219,46 @@ ORACLE_SQL = {
     "stored_urls": "WITH P AS (SELECT page_id, split_part(url, '?', 1) AS url FROM pages) SELECT page_id, url FROM P WHERE url IN (SELECT url FROM P WHERE page_id % 7 = 0)",
     "dropped_brands": f"""WITH {ENTITIES}, N AS (SELECT DISTINCT brand AS name FROM E WHERE brand <> ''), K AS (SELECT lower(regexp_replace(name, '[^A-Za-z0-9]', '', 'g')) AS k FROM N WHERE length(name) < 8 UNION SELECT lower(regexp_replace(name, '[^A-Za-z0-9]', '', 'g')) || '0' FROM N WHERE length(name) < 8)
       SELECT name, 'not_kept' AS reason FROM N WHERE lower(regexp_replace(name, '[^A-Za-z0-9]', '', 'g')) NOT IN (SELECT k FROM K)""",
+    "spec_names": f"""WITH {ENTITIES}, X(k, name) AS (VALUES (0, '制冷量'), (1, '循环风量'), (2, '标准静压'), (3, '连接管气管'), (4, 'APF'), (5, '功率'), (6, '耗电量'), (7, '风量'), (8, '静压范围'), (9, '机外静压'), (10, '风量(高/中/低)'), (11, '尺寸W×D×H'), (12, '噪音_高'), (13, '净重'), (14, '运行电流'), (15, ''), (16, 'colour'), (17, '接口10×20'))
+      SELECT seq, name FROM E JOIN X ON k = seq % 18""",
+    "brand_snapshot": f"""WITH {ENTITIES}, M AS (SELECT seq % 11 AS doc, seq, lower(replace(brand, '#', '')) AS brand_key, CASE WHEN seq % 2 = 0 THEN upper(brand) ELSE brand END AS name, category, (seq % 7)::VARCHAR AS page FROM E WHERE brand <> ''),
+      V AS (SELECT doc, brand_key, string_agg(category, ',' ORDER BY s) AS evidence FROM (SELECT doc, brand_key, category, min(seq) AS s FROM M GROUP BY ALL) GROUP BY ALL),
+      P AS (SELECT doc, brand_key, string_agg(page, ',' ORDER BY s) AS pages, count(*) AS n FROM (SELECT doc, brand_key, page, min(seq) AS s FROM M GROUP BY ALL) GROUP BY ALL)
+      SELECT doc, brand_key, name, evidence, pages, row_number() OVER (PARTITION BY doc ORDER BY n DESC, s)::INT AS rank FROM (SELECT doc, brand_key, arg_min(name, seq) AS name, min(seq) AS s FROM M GROUP BY ALL) JOIN V USING (doc, brand_key) JOIN P USING (doc, brand_key)""",
+    "primary_brands": f"""WITH {ENTITIES}, M AS (SELECT seq % 11 AS doc, seq, brand, seq % 7 AS page FROM E WHERE brand <> ''),
+      S AS (SELECT doc, brand AS name, count(DISTINCT page) AS n, min(seq) AS s, coalesce(bool_or(doc % 2 = 0 AND seq % 3 = 0), false) AS chosen FROM M GROUP BY ALL)
+      SELECT doc, name, chosen FROM S QUALIFY row_number() OVER (PARTITION BY doc ORDER BY chosen DESC, n DESC, s) = 1""",
+    "model_hierarchy": f"""WITH {ENTITIES}, M AS (SELECT seq // 2 AS doc, seq, brand, series, upper(product_model) AS name, (seq % 7)::VARCHAR AS page FROM E WHERE brand <> ''),
+      O AS (SELECT doc, brand AS own FROM M WHERE seq % 2 = 1),
+      X AS (SELECT doc, seq, coalesce(own, brand) AS b, series, name, page, own IS NOT NULL AND own <> brand AS moved FROM M LEFT JOIN O USING (doc)),
+      P AS (SELECT doc, b, series, name, string_agg(page, ',' ORDER BY s) AS pages FROM (SELECT doc, b, series, name, page, min(seq) AS s FROM X GROUP BY ALL) GROUP BY ALL),
+      C AS (SELECT doc, b, series, bool_or(moved) AS changed FROM X GROUP BY ALL)
+      SELECT doc, b || '|||' || series AS pair_key, name, b || '|||' || series || '|||' || name AS model_key, pages, changed FROM P JOIN C USING (doc, b, series)""",
+    "chunk_series": f"""WITH {ENTITIES}, M AS (SELECT seq % 11 AS doc, seq, brand, lower(series) AS k, CASE WHEN seq % 2 = 0 THEN upper(series) ELSE series END AS name, category, (seq % 7)::VARCHAR AS page FROM E WHERE brand <> ''),
+      V AS (SELECT doc, brand, k, string_agg(category, ',' ORDER BY s) AS evidence FROM (SELECT doc, brand, k, category, min(seq) AS s FROM M GROUP BY ALL) GROUP BY ALL),
+      P AS (SELECT doc, brand, k, string_agg(page, ',' ORDER BY s) AS pages FROM (SELECT doc, brand, k, page, min(seq) AS s FROM M GROUP BY ALL) GROUP BY ALL)
+      SELECT doc, brand, name, evidence, pages FROM (SELECT doc, brand, k, arg_min(name, seq) AS name FROM M GROUP BY ALL) JOIN V USING (doc, brand, k) JOIN P USING (doc, brand, k)""",
+    "product_defaults": f"""WITH {ENTITIES} SELECT seq, CASE WHEN seq % 3 = 0 THEN 'Found' ELSE brand END AS brand, CASE WHEN seq % 4 = 0 THEN '暖通空调' ELSE category END AS category, 'S' AS series, upper(product_model) AS product_model, '' AS manufacturer,
+      CASE WHEN seq % 2 = 0 THEN series ELSE 'pages: [' || chr(39) || seq % 5 || chr(39) || ']' END AS evidence, 0 AS n_features FROM E""",
+    "settled_brands": """WITH A AS (SELECT vec_id, (label + vec_id % 3)::VARCHAR || CASE WHEN vec_id % 4 = 0 THEN 'x' ELSE '' END AS answer FROM embeddings WHERE vec_id % 2 = 0),
+      K AS (SELECT vec_id, answer FROM A WHERE answer IN (SELECT label::VARCHAR FROM embeddings)), V AS (SELECT vec_id, CASE WHEN vec_id % 5 > 0 THEN label::VARCHAR END AS vote FROM embeddings)
+      SELECT vec_id AS row_id, coalesce(answer, vote) AS inferred, CASE WHEN answer IS NULL THEN 0.5 ELSE 0.9 END::DOUBLE AS confidence, CASE WHEN answer IS NOT NULL THEN 'llm' WHEN vote IS NOT NULL THEN 'knn_only' ELSE 'none' END AS method,
+        CASE WHEN answer IS NOT NULL THEN vote END AS voted_brand, CASE WHEN answer IS NOT NULL THEN 0.5 END::DOUBLE AS voted_confidence FROM V LEFT JOIN K USING (vec_id)""",
+    "corrected_categories": f"""WITH {ENTITIES}, X AS (SELECT seq, seq % 13 AS doc, product_model, series, CASE WHEN seq % 4 = 0 THEN '' ELSE category END AS category FROM E),
+      C AS (SELECT doc, arg_max(category, (n, -s)) AS main_category FROM (SELECT doc, category, count(*) AS n, min(seq) AS s FROM X WHERE category <> '' GROUP BY ALL) GROUP BY doc),
+      S AS (SELECT doc, arg_max(series, (n, -s)) AS main_series FROM (SELECT doc, series, count(*) AS n, min(seq) AS s FROM X GROUP BY ALL) GROUP BY doc)
+      SELECT seq, CASE WHEN product_model LIKE '%-7' THEN 'labelled' WHEN regexp_matches(product_model, 'bolt|BOLT|small') THEN 'indoor' WHEN regexp_matches(product_model, 'ring|RING|large') THEN 'outdoor'
+        WHEN regexp_matches(series, 'bolt|BOLT|small') THEN 'indoor' WHEN regexp_matches(series, 'ring|RING|large') THEN 'outdoor' WHEN series = main_series THEN main_category ELSE category END AS category FROM X JOIN C USING (doc) JOIN S USING (doc)""",
+    "latest_crawls": "SELECT event_id AS id, 'u7' AS original_url FROM events WHERE user_id % 20 = 7 ORDER BY ts DESC, event_id DESC LIMIT 25",
+    "task_listing": """SELECT event_id AS task_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS created, floor(epoch((SELECT max(ts) FROM events WHERE event_type = 'view')) - epoch(ts))::BIGINT AS seconds_before FROM events WHERE event_type = 'view' ORDER BY ts DESC, event_id DESC LIMIT 40""",
+    "entity_texts": f"""WITH {ENTITIES}, X AS (SELECT *, string_split(product_model, '-') AS w FROM E)
+      SELECT seq, CASE WHEN brand <> '' THEN brand || ' | ' ELSE '' END || product_model || ' | ' || manufacturer || ' | ' || series || ' | ' || category AS text,
+        CASE WHEN brand <> '' THEN '- brand: ' || brand || chr(10) ELSE '' END || '- product_model: ' || product_model || chr(10) || '- category: ' || category || chr(10) || '- series: ' || series || chr(10) || '- manufacturer: ' || manufacturer
+          || chr(10) || '- words: ' || array_to_string(w[1:2], ', ') || CASE WHEN len(w) > 2 THEN ' ... (共' || len(w) || '项)' ELSE '' END AS shown, false AS is_series FROM X""",
+    "evidence_hits": f"""WITH {ENTITIES} SELECT seq, (contains(lower(product_model), series)::INT + contains(lower(category), series)::INT + 1 + contains(lower(brand), series)::INT)::INT AS hits FROM E""",
+    "page_overlaps": """WITH G AS (SELECT l_partkey, l_suppkey, list_distinct(list(l_linenumber::INT)) AS l, list_distinct(list(l_quantity::INT % 7)) AS s FROM lineitem GROUP BY ALL)
+      SELECT l_partkey, l_suppkey, len(list_intersect([1, 2, 3], s))::INT AS overlap_global, len(list_intersect(l, s))::INT AS overlap_local, 1::INT AS series_hits, len(l)::INT AS local_pages, 2::INT AS evidence_count, len(s)::INT AS series_pages FROM G""",
+    "resolved_links": """WITH L(href, url, strategy) AS (VALUES ('../up/./x', 'http://site.example/p/up/x', 'direct_link'), ('/a/../b', 'http://site.example/b', 'direct_link'), ('y?q=1', 'http://site.example/p/q/y?q=1', 'direct_link'), ('?only=1', 'http://site.example/p/q/r?only=1', 'direct_link'),
+      ('#part', '#part', 'card'), ('//host.example/z', 'http://host.example/z', 'direct_link'), ('mailto:a@b.cd', 'mailto:a@b.cd', 'direct_link'), ('', 'http://site.example/p/q/r?x=1', 'card'), ('../../../../top', 'http://site.example/top', 'direct_link'), ('d/..', 'http://site.example/p/q/', 'direct_link'))
+      SELECT page_id, href, L.url, strategy FROM pages, L""",
 }

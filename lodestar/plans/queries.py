@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestar.functions.specs import guard_units, parse_line
-from lodestar.functions.text import brand_core, category_of, completeness, edit_similarity, pair_key, product_id
-from lodestar.operators import clusters, fusion, imputation, knowledge, matching, merge, quality, retrieval, reviews, windows
+from lodestar.functions.specs import canonical_spec_name, guard_units, parse_line
+from lodestar.functions.text import about_series, brand_core, category_of, click_strategy, completeness, edit_similarity, entity_text, format_entity, iso_time, pair_key, product_id, series_hits, whole_seconds
+from lodestar.operators import clusters, fusion, hierarchy, imputation, knowledge, matching, merge, quality, retrieval, reviews, windows
 from lodestar.operators.components import CHUNK, connected_components
 from lodestar.plans.views import entities
 from lodestar.provider import RuleProvider
@@ -359,6 +359,121 @@ def dropped_brands(spark: SparkSession, sf: str) -> DataFrame:
     return matching.dropped_names(before, after).select("name", "reason")
 
 
+#: Names of specifications and raw texts in all forms that the rules know.
+SPEC_EXAMPLES = [
+    ("Rated Cooling Capacity", ""), ("AirFlow (H/M/L)", ""), ("standard static-pressure", ""), ("Gas pipe diameter", ""), ("APF rating", ""), ("Power", ""), ("input_power", ""), ("Power colour", "风量 1200m3/h"),
+    ("机外静压 范围", ""), ("外机静压", ""), ("风量(H/M/L)", ""), ("尺寸 W×D×H", ""), ("噪音_High", ""), ("", "净重：12kg"), ("", "运行电流 5A"), ("", "产品说明 3"), (" colour ;", "blue"), ("接口 10x20", ""),
+]
+
+
+def spec_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Specifications of parts under their canonical names."""
+    known = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(r).alias("raw")) for n, r in SPEC_EXAMPLES))
+    rows = entities(spark, sf).select("seq", F.get(known, (F.col("seq") % len(SPEC_EXAMPLES)).cast("int")).alias("s"))
+    return rows.select("seq", canonical_spec_name("s.name", "s.raw").alias("name"))
+
+
+def _mentions(spark: SparkSession, sf: str) -> DataFrame:
+    """Brands and series of parts as candidates found on pages of documents."""
+    e = entities(spark, sf).where("brand <> ''")
+    page = (F.col("seq") % 7).cast("string")
+    return e.select((F.col("seq") % 11).alias("doc"), "seq", F.col("brand"), "series", F.col("product_model").alias("model"), F.array("category").alias("evidence"), F.array(page).alias("pages"))
+
+
+def brand_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    shown = F.when(F.col("seq") % 2 == 0, F.upper("brand")).otherwise(F.concat(F.lit(" "), F.col("brand")))
+    out = hierarchy.brand_snapshot(_mentions(spark, sf).withColumn("name", shown))
+    return out.select("doc", "brand_key", "name", F.array_join("evidence", ",").alias("evidence"), F.array_join("pages", ",").alias("pages"), "rank")
+
+
+def primary_brands(spark: SparkSession, sf: str) -> DataFrame:
+    """One brand a document: the first chosen one of its snapshot, or the first of all."""
+    rows = _mentions(spark, sf)
+    snapshot = hierarchy.brand_snapshot(rows.withColumn("name", F.col("brand")))
+    chosen = rows.where("doc % 2 = 0 AND seq % 3 = 0").select("doc", F.lower("brand").alias("name"))
+    return hierarchy.primary_brand(snapshot, chosen).select("doc", "name", "chosen")
+
+
+def model_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
+    """Models by document, brand and series, keyed and merged; documents of one brand put all under it."""
+    rows = _mentions(spark, sf).withColumn("name", F.concat(F.lower("model"), F.lit(" ")))
+    rows = rows.withColumn("doc", F.floor(F.col("seq") / 2).cast("long"))
+    brands = rows.where("seq % 2 = 1").select("doc", F.col("brand").alias("name"))
+    out = hierarchy.single_brand_models(brands, rows)
+    return out.select("doc", "pair_key", "name", "model_key", F.array_join("pages", ",").alias("pages"), "changed")
+
+
+def chunk_series(spark: SparkSession, sf: str) -> DataFrame:
+    """Series named by several chunks of a document, each once, with the pages of their chunks where they have none."""
+    rows = _mentions(spark, sf).withColumns({"name": F.when(F.col("seq") % 2 == 0, F.upper("series")).otherwise(F.col("series")), "chunk_pages": F.col("pages")})
+    rows = rows.withColumn("pages", F.when(F.col("doc") % 2 == 0, F.col("pages")).otherwise(F.array().cast("array<string>")))
+    return hierarchy.merge_chunk_series(rows).select("doc", "brand", "name", F.array_join("evidence", ",").alias("evidence"), F.array_join("pages", ",").alias("pages"))
+
+
+def product_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    rows = entities(spark, sf).select("seq", F.when(F.col("seq") % 3 > 0, F.concat("brand", F.lit(" "))).alias("brand"), F.when(F.col("seq") % 4 > 0, F.col("category")).alias("category"), F.lower("product_model").alias("product_model"), F.when(F.col("seq") % 2 == 0, F.array("series")).alias("evidence"))
+    out = hierarchy.product_defaults(rows.withColumns({"found_brand": F.lit("Found"), "found_series": F.lit("S"), "read": F.array((F.col("seq") % 5).cast("string"))}), "found_brand", "found_series", "read")
+    return out.select("seq", "brand", "category", "series", "product_model", "manufacturer", F.array_join("evidence", ",").alias("evidence"), F.size("features").alias("n_features"))
+
+
+def settled_brands(spark: SparkSession, sf: str) -> DataFrame:
+    """Votes of vectors' labels and a model's answers, of which only known labels count."""
+    v = _vectors(spark, sf)
+    voted = v.select(F.col("id").alias("row_id"), F.when(F.col("id") % 5 > 0, F.col("label").cast("string")).alias("inferred"), F.lit(0.5).alias("confidence"))
+    answers = v.where("id % 2 = 0").select(F.col("id").alias("row_id"), F.concat((F.col("label") + F.col("id") % 3).cast("string"), F.when(F.col("id") % 4 == 0, "x").otherwise(" ")).alias("brand"), F.lit(0.9).alias("confidence"))
+    return hierarchy.settled_brands(voted, answers, v.select(F.col("label").cast("string").alias("brand")).distinct())
+
+
+def corrected_categories(spark: SparkSession, sf: str) -> DataFrame:
+    """Categories of parts by label, by words, and by what their document is mostly about."""
+    e = entities(spark, sf).withColumns({"doc": F.col("seq") % 13, "category": F.when(F.col("seq") % 4 == 0, "").otherwise(F.col("category"))})
+    by_word = lambda c: category_of(c, ["bolt", "BOLT", "small"], ["ring", "RING", "large"], ("indoor", "outdoor"))
+    by_label = lambda c: F.when(F.col(c).endswith("-7"), "labelled")
+    return hierarchy.corrected_categories(e, "doc", by_word, by_label).select("seq", "category")
+
+
+def _crawls(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").select(F.col("event_id").alias("id"), F.concat(F.lit("u"), (F.col("user_id") % 20).cast("string")).alias("original_url"), F.col("ts").alias("crawled_at"))
+
+
+def latest_crawls(spark: SparkSession, sf: str) -> DataFrame:
+    return retrieval.latest_crawls(_crawls(spark, sf), "u7", 25).select("id", "original_url")
+
+
+def task_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest tasks of one type, with their times as text and how long before the type's last one they came."""
+    tasks_ = table(spark, sf, "events").select(F.col("event_id").alias("task_id"), F.col("event_type").alias("type"), F.col("ts").alias("created_at"))
+    last = tasks_.where("type = 'view'").agg(F.max("created_at").alias("last"))
+    return retrieval.task_list(tasks_, "view", 40).crossJoin(F.broadcast(last)).select("task_id", iso_time("created_at").alias("created"), whole_seconds("created_at", "last").alias("seconds_before"))
+
+
+def entity_texts(spark: SparkSession, sf: str) -> DataFrame:
+    e = entities(spark, sf)
+    words = e.withColumn("words", F.split("product_model", "-"))
+    return words.select("seq", entity_text().alias("text"), format_entity(lists=["words"], most=2).alias("shown"), about_series("series").alias("is_series"))
+
+
+def evidence_hits(spark: SparkSession, sf: str) -> DataFrame:
+    """In how many of its texts a part's series is named."""
+    e = entities(spark, sf)
+    return e.select("seq", series_hits(F.concat("series", F.lit("系列")), F.array("product_model", "category", F.concat(F.lit("the "), F.upper("series"), F.lit(" one")), "brand")).alias("hits"))
+
+
+def page_overlaps(spark: SparkSession, sf: str) -> DataFrame:
+    """The scores of parts' suppliers from the sets of their orders' line numbers."""
+    item = table(spark, sf, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.collect_set("l_linenumber").alias("local_set"), F.collect_set((F.col("l_quantity").cast("int") % 7).cast("int")).alias("series_set"))
+    item = item.withColumns({"global_set": F.array(F.lit(1), F.lit(2), F.lit(3)), "series": F.concat(F.lit("S"), F.col("l_suppkey").cast("string")), "evidence": F.array(F.concat(F.lit("of s"), F.col("l_suppkey").cast("string")), F.lit("none"))})
+    item = item.withColumn("local_set", F.transform("local_set", lambda x: x.cast("int")))
+    return knowledge.page_overlaps(item).select("l_partkey", "l_suppkey", "overlap_global", "overlap_local", "series_hits", "local_pages", "evidence_count", "series_pages")
+
+
+def resolved_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Links of every form against pages' addresses."""
+    forms = ["../up/./x", "/a/../b", "y?q=1", "?only=1", "#part", "//host.example/z", "mailto:a@b.cd", "", "../../../../top", "d/.."]
+    pages = table(spark, sf, "pages").select("page_id", F.lit("http://site.example/p/q/r?x=1").alias("base"), F.explode(F.array(*map(F.lit, forms))).alias("href"))
+    return pages.select("page_id", "href", web.resolve(F.col("base"), F.col("href")).alias("url"), click_strategy("href", F.lit("article-card")).alias("strategy"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -367,5 +482,7 @@ QUERIES = {
         follow_pages, name_occurrences, bind_known_models, model_conflicts, model_spec_relations, graph_nodes, graph_edges, batch_envelope, crawl_url_dedup, crawl_listing, page_content_extract,
         page_links, task_latest_status, incremental_index, overflow_report, batch_summary, spec_parse, connected_parts, text_chunks, prompt_batches, alias_clusters, containment_groups, markdown_pages,
         stream_dedup_index, page_order, series_merge, model_redirects, series_feature_merge, completeness_scores, single_brand_documents, call_limits, stored_urls, dropped_brands,
+        spec_names, brand_snapshot, primary_brands, model_hierarchy, chunk_series, product_defaults, settled_brands, corrected_categories, latest_crawls, task_listing, entity_texts, evidence_hits,
+        page_overlaps, resolved_links,
     )
 }

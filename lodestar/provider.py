@@ -34,6 +34,8 @@ class Provider(Protocol):
 
     def embed(self, text: Column) -> Column: ...
 
+    def infer_brand(self, entity: Column, neighbours: Column) -> Column: ...
+
 
 class RuleProvider:
     """Deterministic answers by rule: likeness for aliases, patterns for names, hashed words for vectors."""
@@ -59,6 +61,11 @@ class RuleProvider:
     def specs(self, text: Column) -> Column:
         return F.filter(F.transform(F.split(text, "\n"), lambda line: parse_line(line)), lambda s: s.isNotNull())
 
+    def infer_brand(self, entity: Column, neighbours: Column) -> Column:
+        """The first of the neighbours' brands that the entity's text names, and how sure; null if it names none."""
+        named = F.get(F.filter(neighbours, lambda b: F.contains(F.lower(entity), F.lower(b))), F.lit(0))
+        return F.struct(named.alias("brand"), F.when(named.isNotNull(), 0.9).otherwise(0.0).alias("confidence"))
+
     def embed(self, text: Column) -> Column:
         size = self.dimension
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,14 +51,18 @@ def table_text(html: Column) -> Column:
     return F.array_join(F.transform(table_rows(html), lambda r: F.array_join(r, " | ")), "\n")
 
 
-#: Character references that text is likely to hold.
-REFERENCES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&copy;": "©", "&middot;": "·", "&deg;": "°", "&times;": "×", "&amp;": "&"}
+def unescape(text: Column) -> Column:
+    """Character references, by name or by number, as the characters that they stand for; unknown ones stay."""
+    names = F.create_map(*(F.lit(x) for name, point in name2codepoint.items() for x in (name, chr(point))))
 
+    def one(piece: Column) -> Column:
+        name = F.regexp_extract(piece, r"^&(#?[A-Za-z0-9]+);", 1)
+        number = F.coalesce(F.conv(F.nullif(F.regexp_extract(name, r"^#[xX]([0-9A-Fa-f]{1,6})$", 1), F.lit("")), 16, 10), F.nullif(F.regexp_extract(name, r"^#([0-9]{1,7})$", 1), F.lit(""))).try_cast("int")
+        written = F.when(number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+        found = F.coalesce(F.try_element_at(names, name), written, F.when(name == "apos", "'"))
+        return F.when(found.isNull(), piece).otherwise(F.concat(found, F.substring(piece, F.length(name) + 3, F.length(piece))))
 
-def unescape(text: Column) -> Column:
-    for reference, character in REFERENCES.items():
-        text = F.replace(text, F.lit(reference), F.lit(character))
-    return text
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(F.split(text, "(?=&)"), one), "")).otherwise(text)
 
 
 def blocks(pages: DataFrame, keep_discarded: bool = True) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,6 +95,44 @@ def discover_tasks(files: DataFrame, min_chars: int = 50) -> DataFrame:
     return tasks.select("doc_group", F.when(F.col("n") > 1, F.concat("base", F.lit("__"), F.col("n").cast("string"))).otherwise(F.col("base")).alias("doc_key"), F.when(F.col("parts"), "parts").otherwise("single").alias("kind"), F.transform("p", lambda x: x["path"]).alias("md_files"))
 
 
+def discover_brand_tasks(files: DataFrame, root: str, include: list[str] | None = None, exclude: list[str] | None = None, limit: int = 0, min_chars: int = 50) -> DataFrame:
+    """(brand, doc_key, kind, md_files): the documents of the brand folders below ``root``, by brand and key without case.
+
+    Hidden folders are left out, and so are excluded ones and, if some are named, all
+    that are not included; a limit above 0 takes the first so many documents.
+    """
+    scheme = r"^[A-Za-z][A-Za-z0-9+.-]*:/*"
+    top = re.sub(scheme, "/", root.rstrip("/"))
+    below = F.regexp_extract(F.regexp_replace("path", scheme, "/"), rf"^{re.escape(top)}/([^/]+)/", 1)
+    rows = files.withColumn("doc_group", below).where((F.col("doc_group") != "") & ~F.col("doc_group").startswith("."))
+    wanted, unwanted = ([n.strip() for n in names or [] if n.strip()] for names in (include, exclude))
+    if wanted:
+        rows = rows.where(F.col("doc_group").isin(wanted))
+    if unwanted:
+        rows = rows.where(~F.col("doc_group").isin(unwanted))
+    found = discover_tasks(rows, min_chars).withColumnRenamed("doc_group", "brand")
+    return found.orderBy(F.lower("brand"), F.lower("doc_key")).limit(limit) if limit > 0 else found
+
+
+def brand_summary(tasks: DataFrame) -> DataFrame:
+    """Documents of each brand by kind."""
+    return tasks.groupBy("brand").agg(F.count_if(F.col("kind") == "parts").alias("part_groups"), F.count_if(F.col("kind") == "single").alias("single_files"), F.sum(F.size("md_files")).alias("md_files"))
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def reload_products(spark: SparkSession, stage_path: str, envelope_path: str) -> DataFrame:
+    """Products of the stage table, if it is there, else of the envelopes, else none."""
+    if _there(spark, stage_path):
+        return spark.read.parquet(stage_path)
+    if _there(spark, envelope_path):
+        return read_envelopes(spark, envelope_path).select(*PRODUCT.fieldNames())
+    return spark.createDataFrame([], PRODUCT)
+
+
 def pages_from(spark: SparkSession, path: str) -> DataFrame:
     """Blocks or Markdown, whichever the path names."""
     return read_blocks_csv(spark, path) if path.endswith(".csv") else read_markdown(spark, path)

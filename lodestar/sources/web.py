@@ -31,15 +31,29 @@ def page_content(pages: DataFrame, html: str = "html") -> DataFrame:
     )
 
 
+def without_dots(path: Column) -> Column:
+    """A path with its ``.`` and ``..`` segments taken in; ``..`` above the root goes."""
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda done, part: F.when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))).when(part == ".", done).otherwise(F.array_append(done, part)))
+    return F.concat(F.array_join(kept, "/"), F.when(last.isin(".", "..") & ~F.array_join(kept, "/").endswith("/"), "/").otherwise(""))
+
+
 def resolve(base: Column, href: Column) -> Column:
-    """Absolute, script and fragment links as they are; others against the page's address."""
+    """Absolute, script and fragment links as they are; others against the page's address, dot segments taken in."""
     origin = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
-    folder = F.regexp_extract(F.regexp_replace(base, r"[?#].*$", ""), r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/]*(?:/.*/|/)?)", 1)
+    page = F.regexp_replace(base, r"[?#].*$", "")
+    folder = F.regexp_extract(page, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/]*(?:/.*/|/)?)", 1)
+    path, rest = F.regexp_extract(href, r"^([^?#]*)", 1), F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
+    whole = F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))
+    inside = F.concat(F.substring(whole, F.length(origin) + 1, F.length(whole)), path)
     return (
         F.when(href.rlike(r"^([a-zA-Z][a-zA-Z0-9+.-]*:|#)"), href)
         .when(href.startswith("//"), F.concat(F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1), href))
-        .when(href.startswith("/"), F.concat(origin, href))
-        .otherwise(F.concat(F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/"))), href))
+        .when(href.startswith("?"), F.concat(page, href))
+        .when(href.startswith("/"), F.concat(origin, without_dots(path), rest))
+        .when(href == "", base)
+        .otherwise(F.concat(origin, without_dots(inside), rest))
     )
 
 

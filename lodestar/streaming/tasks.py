@@ -60,6 +60,11 @@ def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
     return query
 
 
+def run_every(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, hours: float = 6.0) -> StreamingQuery:
+    """Consume what has come, batch by batch, every so many hours, until the query is stopped."""
+    return stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(processingTime=f"{round(hours * 3600)} seconds").start()
+
+
 def keep_new(path: str, key: str) -> Callable[[DataFrame, int], None]:
     """A batch handler that appends rows whose key the table at ``path`` lacks, one of each key: the smallest, field by field."""
 
