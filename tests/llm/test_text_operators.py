@@ -242,21 +242,112 @@ def test_chat_markers_in_texts(spark):
 MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n"
 
 
-@pytest.mark.parametrize(
-    "text, found",
-    [
-        ("prose\nReleased under the MIT License.", "MIT"),
-        ("*** Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
-        ("One. This work is licensed under the GNU General Public License, version 3. Two", "GPL-3.0"),
-        ("Released under the MIT License. Licensed under the Apache License, Version 2.0.", "Apache-2.0,MIT"),
-        (MIT, "MIT"),
-        ("a license to speak", ""),
-        ("", ""),
-        (None, ""),
-    ],
-)
-def test_licences(spark, text, found):
-    assert license_rules.scan(docs(spark, [text], licenses="clash")).first().licenses == found
+APACHE = "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\nSee the License for the specific language governing permissions and\nlimitations under the License.\n"
+BSD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n"
+BSD_NAMES = "3. Neither the name of the copyright holder nor the names of its contributors may be\n   used to endorse or promote products derived from this software without\n   specific prior written permission.\n"
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.\n"
+LGPL = "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.\n\nThis library is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU\nLesser General Public License for more details.\n"
+FULL = {"MIT": MIT, "Apache-2.0": APACHE, "BSD-2-Clause": BSD, "BSD-3-Clause": BSD + BSD_NAMES, "MPL-2.0": MPL, "LGPL-2.1-or-later": LGPL}
+LICENCE_CASES = [
+    ("prose\nReleased under the MIT License.", "MIT"),
+    ("*** Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+    ("One. This work is licensed under the GNU General Public License, version 3. Two", "GPL-3.0"),
+    ("Released under the MIT License. Licensed under the Apache License, Version 2.0.", "Apache-2.0,MIT"),
+    ("// SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0-or-later"),
+    ("License: MIT", "MIT"),
+    ("The project is released\n# under the terms of the\n# Eclipse Public License v2.0.", "EPL-2.0"),
+    ("# This project is released\n# under the terms of the\n# Eclipse Public License v2.0.", "EPL-2.0"),
+    ("Released under CC0.", "CC0-1.0"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License.", "CC-BY-NC-SA-3.0"),
+    ("All rights reserved.", "all-rights-reserved"),
+    ("a license to speak", ""),
+    ("under the bridge. He lives under the MIT License plate.", ""),
+    ("", ""),
+    (None, ""),
+    *((mark + text.replace("\n", "\n" + mark), name) for name, text in FULL.items() for mark in ("", "# ", " * ", "// ", "-- ", "; ")),
+]
+
+
+def test_licences(spark):
+    rows = sorted(license_rules.scan(docs(spark, [t for t, _ in LICENCE_CASES], licenses="clash")).collect())
+    assert [(t, r.licenses) for (t, _), r in zip(LICENCE_CASES, rows)] == LICENCE_CASES
+    assert all((r.n_sentences > 0) == (r.sentences != "") == (r.licenses != "") for r in rows)  # no licence without a sentence
+
+
+#: Sentences with the identifier each must get, whatever its line breaks, comment marks and neighbours.
+SPOKEN = {
+    "Released under the MIT License.": "@MIT",
+    "Licensed under the Apache License, Version 2.0!": "@Apache-2.0",
+    "This software is available under the terms of the Boost Software License, Version 1.0.": "@BSL-1.0",
+    "All rights reserved.": "s",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.": "b1",
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.": "b2",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.": "b3",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.": "b4",
+    "He asked for permission.": None,
+    "The license was lost, and so was é.": None,
+}
+PLAIN_RUNS = {"BSD-3-Clause": ["b1", "b2", "b3", "b4"], "BSD-2-Clause": ["b1", "b2", "b3"], "all-rights-reserved": ["s"]}
+
+
+def recognise(text):
+    """The rule, word by word: sentences of lines and of paragraphs, known ones, runs."""
+    words = lambda s: tuple("".join(c if c in "abcdefghijklmnopqrstuvwxyz0123456789" else " " for c in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in s)).split())
+    known = {words(s): n for s, n in SPOKEN.items() if n} | {words("Released under the MIT"): "@MIT", words("available under the terms of the Boost Software License, Version 1.0."): "@BSL-1.0"}  # what a line break may leave
+    lines, paragraphs = text.split("\n"), [""]
+    for line in lines:
+        if not words(line):
+            paragraphs.append("")
+        else:
+            paragraphs[-1] += " " + line
+            if line.rstrip(" \t\r").endswith(":"):
+                paragraphs.append("")
+    cuts = []
+    for blocks in (lines, paragraphs):
+        names = []
+        for block in blocks:
+            sentence = ""
+            for c, then in zip(block, block[1:] + " "):
+                sentence += c
+                if c in ".!?" and then in " \t\r":
+                    names.append(known.get(words(sentence)))
+                    sentence = ""
+            names.append(known.get(words(sentence)))
+        cuts.append([n for n in names if n])
+    has = lambda run: any(cut[k : k + len(run)] == run for cut in cuts for k in range(len(cut)))
+    licences = {n[1:] for cut in cuts for n in cut if n[0] == "@"} | {n for n, run in PLAIN_RUNS.items() if has(run)}
+    if has(PLAIN_RUNS["BSD-3-Clause"]):
+        licences.discard("BSD-2-Clause")
+    seen = cuts[0] + [n for n in cuts[1] if n not in cuts[0]]
+    return ",".join(sorted(licences)), len(seen), ",".join(seen)
+
+
+def test_licences_against_a_plain_recogniser(spark):
+    r = random.Random(7)
+    texts = []
+    for _ in range(400):
+        parts = r.choices(list(SPOKEN), k=r.randint(1, 7))
+        if r.random() < 0.5:
+            at = r.randint(0, len(parts))
+            parts[at:at] = list(SPOKEN)[4 : 7 + r.randint(0, 1)]
+        mark, breaks = r.choice(["", "# ", "// ", " * "]), r.random()
+        text = "".join(p.replace(" ", " \0") + r.choice([" \0", "\n", "\n\n", "  "]) for p in parts)
+        text = "".join(("\n" if r.random() < 0.15 * breaks else "") if c == "\0" else c for c in text)
+        texts.append(mark + text.replace("\n", "\n" + mark))
+    rows = sorted(license_rules.scan(docs(spark, texts)).collect())
+    expected = [recognise(t) for t in texts]
+    assert [(x.licenses, x.n_sentences, x.sentences) for x in rows] == expected
+    assert {"MIT", "BSD-2-Clause", "BSD-3-Clause"} <= {n for e in expected for n in e[0].split(",")}
+
+
+def test_licence_statement_gives_the_same(spark):
+    import duckdb
+
+    texts = [t for t, _ in LICENCE_CASES] + TEXTS
+    df = docs(spark, texts)
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    assert sorted(map(tuple, license_rules.scan(df).collect())) == sorted(con.sql("SELECT doc_id, licenses, n_sentences, sentences FROM (" + license_rules.oracle_sql() + ")").fetchall())
 
 
 def test_licence_plan_is_native(spark):
