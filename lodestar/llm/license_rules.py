@@ -13,6 +13,7 @@ sentences contain are not cut up at all.
 
 from __future__ import annotations
 
+import functools
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -93,9 +94,8 @@ LEAD = (
     "^(?:(?:this|the) (?:work|project|software|program|library|package|file|code|source code|document|documentation|repository|module|content|text) is )?(?:dual |made )?"
     f"(?:{VERBS}) under (?:the terms (?:and conditions )?of )?(?:(?:the|a|an) )?|^spdx license identifier |^licen[cs]e "
 )
-#: Words of which a text with a known sentence has one.
-WORDS = "licen|permission|permitted|redistribut|warrant|liable|reserved|unencumbered|source versions|may not be removed|copy of the mpl"
-HINT = f"{WORDS.replace(' ', '[^a-z0-9]+')}|(?:{VERBS})[^a-z0-9]+under"
+#: Words of which a text with a known sentence has one, if it has none of the verbs before "under".
+WORDS = ["licen", "permission", "permitted", "redistribut", "warrant", "liable", "reserved", "unencumbered", "altered", "mozilla"]
 
 
 def _plain(name: str) -> str:
@@ -136,8 +136,8 @@ def _known() -> tuple[dict[str, str], list[tuple[str, list[str]]]]:
 
 KNOWN, ALL_RULES = _known()
 
-if any(not s.startswith("under ") and not re.search(HINT, s) for s in KNOWN):
-    raise AssertionError("a known sentence has none of the words that HINT looks for")
+if any(not s.startswith("under ") and not any(word in s for word in WORDS) for s in KNOWN):
+    raise AssertionError("a known sentence has none of the words that texts are searched for")
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The end of a paragraph: a line without letters and digits, or a colon at a line's end.
@@ -149,13 +149,20 @@ def _normal(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(plain, r"\bhttps\b", "http"), LEAD, "under ")
 
 
+def _may_have_any(small: Column) -> Column:
+    """Whether a lower-case text has a word of a known sentence; plain searches first, the expression only where verb and "under" occur."""
+    words = functools.reduce(Column.__or__, (F.contains(small, F.lit(w)) for w in WORDS))
+    verbs = functools.reduce(Column.__or__, (F.contains(small, F.lit(v)) for v in VERBS.split("|")))
+    return words | (F.contains(small, F.lit("under")) & verbs & small.rlike(f"(?:{VERBS})[^a-z0-9]+under"))
+
+
 def _identifiers(text: Column, wrapped: bool) -> Column:
     """The identifiers of known sentences in order."""
     if wrapped:
         text = F.regexp_replace(text, _GAP, "\u0001")
         text = F.replace(F.translate(text, "\n", " "), F.lit("\u0001"), F.lit("\n"))
     sentences = F.split(F.regexp_replace(text, r"([.!?])[ \t\r\n]+", "$1\n"), "\n")
-    known = F.create_map(*(F.lit(x) for pair in KNOWN.items() for x in pair))
+    known = F.str_to_map(F.lit(";".join(f"{s}={n}" for s, n in KNOWN.items())), F.lit(";"), F.lit("="))  # folded into one literal
     return F.coalesce(F.filter(F.transform(sentences, lambda s: F.try_element_at(known, _normal(s))), lambda n: n.isNotNull()), F.array().cast("array<string>"))
 
 
@@ -168,7 +175,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     texts without a known sentence, have empty ones.  Other columns are ignored.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.when(F.translate(text, _UPPER, _LOWER).rlike(HINT), text).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.lower(text).alias("small"))
+    rows = rows.select("doc_id", F.when(_may_have_any(F.col("small")), F.col("text")).alias("text"))
     rows = rows.select("doc_id", _identifiers(F.col("text"), False).alias("by_line"), _identifiers(F.col("text"), True).alias("run_on"))
     rows = rows.withColumns({f"{c}_run": F.concat(F.lit(";"), F.array_join(c, ";"), F.lit(";")) for c in ("by_line", "run_on")})
     found: dict[str, Column] = {}
