@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestar.functions.text import brand_key, model_name
 from lodestar.operators.sieve import maybe_among
@@ -27,20 +30,72 @@ def bind_to_known_models(products: DataFrame, known: DataFrame, scope: list[str]
     return exact.select(capped.columns).unionByName(capped).drop("_key")
 
 
-def occurrences(names: DataFrame, pages: DataFrame, name: str, page: str, text: str, least: int = 2, gram: int = 12) -> DataFrame:
-    """(name, pages): where each name occurs, both sides reduced to letters and digits.
+def occurrence_pairs(names: DataFrame, pages: DataFrame, name: str, page: str, text: str, least: int = 2, gram: int = 12) -> DataFrame:
+    """(name, page) where a name occurs on a page, both reduced to letters and digits; each pair once.
 
-    A name and a page meet over the name's first ``gram`` characters; pages emit their
-    fragments of that length only if one of the names begins with it.
+    They meet over the name's first ``gram`` characters, or all of a shorter name.  Every
+    place of a page has a rolling hash for each of these lengths; a bitmap of fixed size
+    lets through the few places where a name may begin, and only those are joined, with
+    as many of the characters that follow as the names of that length need.  Names with
+    fewer than ``least`` characters are nowhere, and nothing is on a null or empty page
+    or one without an id.
     """
-    keyed = names.select(F.col(name), brand_key(name).alias("_key")).where(F.length("_key") >= least)
-    body = pages.select(F.col(page), brand_key(text).alias("_body"))
-    long_keys = keyed.where(F.length("_key") >= gram).withColumn("_piece", F.substring("_key", 1, gram))
-    pieces = body.withColumn("_piece", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_body") - gram + 1, F.lit(1))), lambda i: F.substring(F.col("_body"), i, gram)))))
-    found = pieces.join(long_keys, "_piece").where(F.contains("_body", "_key")).select(name, page).distinct()
-    short = keyed.where(F.length("_key") < gram)
-    near = body.join(short, F.contains("_body", "_key")).select(name, page)
-    return found.unionByName(near).groupBy(name).agg(F.array_sort(F.collect_set(F.col(page).cast("long"))).alias("pages"))
+    keyed = names.select(F.col(name).alias("_name"), brand_key(name).alias("_key")).where(F.length("_key") >= max(1, least)).distinct()
+    keyed = keyed.withColumns({"_n": F.least(F.length("_key"), F.lit(gram)), "_piece": F.substring("_key", 1, gram)})
+    longest = {r["_n"]: r["_longest"] for r in keyed.groupBy("_n").agg(F.max(F.length("_key")).alias("_longest")).collect()}  # a row for each of the lengths up to gram
+    marks = keyed.select("_piece").distinct().mapInPandas(_slots_of_names, "_slot long")
+    mark = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("_slot", F.lit(64)).cast("int"))
+    words = marks.groupBy(F.shiftright("_slot", 6).alias("_word")).agg(F.bit_or(mark).alias("_bits")).toPandas()  # a megabyte at most
+    bitmap = np.zeros(1 << (SLOT_BITS - 6), dtype=np.uint64)
+    bitmap[words["_word"].to_numpy(dtype=np.int64)] = words["_bits"].to_numpy(dtype=np.int64).view(np.uint64)
+    body = pages.select(F.col(page).alias("_page"), brand_key(text).alias("_body")).where("_page IS NOT NULL AND _body <> ''")
+    near = body.mapInPandas(_places(bitmap, longest), T.StructType([body.schema["_page"], *(T.StructField(c, T.StringType()) for c in ("_piece", "_follows"))]))
+    found = near.join(keyed, "_piece").where(F.startswith("_follows", "_key"))
+    return found.select(F.col("_name").alias(name), F.col("_page").alias(page)).distinct()
+
+
+#: Bits of a slot's number in the bitmap of name beginnings: eight million slots, a megabyte.
+SLOT_BITS = 23
+
+
+def _slots(text: str, longest: int):
+    """(n, slots of all fragments of n characters) for each n up to the given one."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    rolling = np.zeros(len(codes), dtype=np.uint64)
+    for n in range(1, min(longest, len(codes)) + 1):
+        rolling = rolling[: len(codes) - n + 1] * np.uint64(0x9E3779B97F4A7C15) + codes[n - 1 :]
+        yield n, ((rolling ^ (rolling >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - SLOT_BITS)
+
+
+def _slots_of_names(batches):
+    for batch in batches:
+        yield pd.DataFrame({"_slot": [int(list(_slots(piece, len(piece)))[-1][1][0]) for piece in batch["_piece"]]}, dtype="int64")
+
+
+def _places(bitmap: np.ndarray, longest: dict[int, int], rows: int = 10_000):
+    def places(batches):
+        found: list[tuple] = []
+        for batch in batches:
+            for number, text in zip(batch["_page"], batch["_body"]):
+                seen = set()
+                for n, slots in _slots(text, max(longest, default=0)):
+                    if n in longest:
+                        hits = np.flatnonzero((bitmap[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1))
+                        seen.update((number, text[at : at + n], text[at : at + longest[n]]) for at in hits.tolist())
+                found += seen
+                if len(found) >= rows:
+                    yield pd.DataFrame(found, columns=["_page", "_piece", "_follows"])
+                    found = []
+        if found:
+            yield pd.DataFrame(found, columns=["_page", "_piece", "_follows"])
+
+    return places
+
+
+def occurrences(names: DataFrame, pages: DataFrame, name: str, page: str, text: str, least: int = 2, gram: int = 12) -> DataFrame:
+    """(name, pages): the sorted pages of each name that occurs on any. A name's pages have to fit a row."""
+    pairs = occurrence_pairs(names, pages, name, page, text, least, gram)
+    return pairs.groupBy(name).agg(F.array_sort(F.collect_set(F.col(page).cast("long"))).alias("pages"))
 
 
 def occurrence_pairs_of_texts(items: DataFrame, docs: DataFrame, item: str, doc: str, text: str, words: int = 6) -> DataFrame:

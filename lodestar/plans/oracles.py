@@ -144,6 +144,9 @@ ORACLE_SQL = {
     "follow_pages": "SELECT doc, page FROM (SELECT conv_id AS doc, turn AS page, max((turn % 5 = 0)::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS near FROM conversations) WHERE near = 1",
     "name_occurrences": r"""WITH B AS (SELECT item_id, trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')) AS t FROM benchmark), D AS (SELECT doc_id, ' ' || trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')) || ' ' AS t FROM documents)
       SELECT item_id, doc_id FROM B JOIN D ON contains(D.t, ' ' || B.t || ' ') WHERE B.t <> ''""",
+    "series_occurrences": f"""WITH {ENTITIES}, N AS (SELECT series AS name FROM E UNION SELECT n_name FROM nation UNION SELECT array_to_string(string_split(text, ' ')[1:4], ' ') FROM benchmark),
+      K AS (SELECT name, regexp_replace(lower(name), '[^a-z0-9一-龥]+', '', 'g') AS k FROM N), D AS (SELECT doc_id, regexp_replace(lower(text), '[^a-z0-9一-龥]+', '', 'g') AS t FROM documents)
+      SELECT name, doc_id FROM K JOIN D ON contains(D.t, k) WHERE length(k) >= 2""",
     "bind_known_models": f"""WITH {ENTITIES}, K AS (SELECT DISTINCT category, array_to_string(string_split(product_model, '-')[1:2], '-') AS m FROM E WHERE seq % 3 = 0 UNION SELECT DISTINCT category, product_model FROM E WHERE seq % 5 = 0),
       P AS (SELECT * FROM E), X AS (SELECT p.seq, k.m FROM P p JOIN K k ON k.category = p.category AND k.m = p.product_model),
       C AS (SELECT p.seq, k.m, row_number() OVER (PARTITION BY p.seq ORDER BY length(k.m) DESC, k.m) AS r FROM P p JOIN K k ON k.category = p.category AND contains(p.product_model, k.m) WHERE p.seq NOT IN (SELECT seq FROM X))

@@ -152,6 +152,13 @@ def name_occurrences(spark: SparkSession, sf: str) -> DataFrame:
     return matching.occurrence_pairs_of_texts(table(spark, sf, "benchmark"), table(spark, sf, "documents"), "item_id", "doc_id", "text")
 
 
+def series_occurrences(spark: SparkSession, sf: str) -> DataFrame:
+    """Series of parts, nations and the beginnings of benchmark items as names, and the documents that they are in."""
+    names = entities(spark, sf).select(F.col("series").alias("name")).unionByName(table(spark, sf, "nation").select(F.col("n_name").alias("name")))
+    names = names.unionByName(table(spark, sf, "benchmark").select(F.array_join(F.slice(F.split("text", " "), 1, 4), " ").alias("name")))
+    return matching.occurrence_pairs(names, table(spark, sf, "documents"), "name", "doc_id", "text")
+
+
 def bind_known_models(spark: SparkSession, sf: str) -> DataFrame:
     e = entities(spark, sf)
     known = e.where("seq % 3 = 0").select("category", F.concat_ws("-", F.slice(F.split("product_model", "-"), 1, 2)).alias("model"))
@@ -479,7 +486,7 @@ QUERIES = {
     for f in (
         entity_statistics, brand_frequency, rare_brand_filter, brand_alias_pairs, brand_alias_rules, brand_alias_groups, brand_alias_applied, brand_knn_imputation, brand_representatives,
         vector_label_imputation, vector_search, product_dedup_merge, product_dedup_canonical, category_correction, frequent_models, page_windows, logical_documents, page_clusters, keyword_retrieval,
-        follow_pages, name_occurrences, bind_known_models, model_conflicts, model_spec_relations, graph_nodes, graph_edges, batch_envelope, crawl_url_dedup, crawl_listing, page_content_extract,
+        follow_pages, name_occurrences, series_occurrences, bind_known_models, model_conflicts, model_spec_relations, graph_nodes, graph_edges, batch_envelope, crawl_url_dedup, crawl_listing, page_content_extract,
         page_links, task_latest_status, incremental_index, overflow_report, batch_summary, spec_parse, connected_parts, text_chunks, prompt_batches, alias_clusters, containment_groups, markdown_pages,
         stream_dedup_index, page_order, series_merge, model_redirects, series_feature_merge, completeness_scores, single_brand_documents, call_limits, stored_urls, dropped_brands,
         spec_names, brand_snapshot, primary_brands, model_hierarchy, chunk_series, product_defaults, settled_brands, corrected_categories, latest_crawls, task_listing, entity_texts, evidence_hits,

@@ -138,6 +138,22 @@ def test_occurrences(spark):
     assert {r.name: r.pages for r in matching.occurrences(names, pages, "name", "page", "text").collect()} == {"VRV": [1], "a very long series name": [2]}
 
 
+def test_occurrences_against_brute_force(spark):
+    r = random.Random(3)
+    word = lambda: "".join(r.choices("abA-é机组 ", k=r.randint(0, 16)))
+    names, pages = [None, "", "a", *(word() for _ in range(150))], [None, "", *("".join(word() for _ in range(r.randint(0, 30))) for _ in range(60))]
+    names += [p[5:40] for p in pages if p and len(p) > 45] + names[:20]
+    key = lambda s: "".join(c for c in (s or "").lower() if c in "ab机组")
+    brute = {(n, k) for n in names for k, p in enumerate(pages) if len(key(n)) >= 2 and key(n) in key(p)}
+    left = spark.createDataFrame([(n, 1) for n in names], "name string, _key int")
+    right = spark.createDataFrame([(k, p, "x") for k, p in enumerate(pages)], "page long, text string, name string")
+    got = [tuple(x) for x in matching.occurrence_pairs(left, right, "name", "page", "text").collect()]
+    assert sorted(got) == sorted(brute) and max(len(key(n)) for n, _ in brute) > 12
+    plan = matching.occurrence_pairs(left, right, "name", "page", "text")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert matching.occurrence_pairs(left.limit(0), right, "name", "page", "text").count() == 0 == matching.occurrence_pairs(left, right.limit(0), "name", "page", "text").count()
+
+
 def test_new_urls(spark):
     rows = spark.createDataFrame([(0, "a"), (1, "a"), (2, "b"), (3, None)], "seq long, url string")
     stored = spark.createDataFrame([("b",)], "url string")
